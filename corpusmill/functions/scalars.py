@@ -52,7 +52,8 @@ def percent(fraction: Column) -> Column:
 
 def is_blank(text: Column) -> Column:
     """True when only Unicode white space (and the four ASCII separators) is left."""
-    return ~text.rlike(r"(?U)[^\s\x1C-\x1F]")
+    # the first test settles nearly every line without running a pattern over it
+    return ~(text.startswith("{") | text.rlike(r"(?U)[^\s\x1C-\x1F]"))
 
 
 def same_text(left: Column, right: Column) -> Column:

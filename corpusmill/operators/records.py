@@ -32,7 +32,8 @@ def parse_objects(line: Column) -> Column:
     wrapped = F.concat(F.lit("["), line, F.lit(f',"{_END}"]'))
     pair = F.from_json(wrapped, T.ArrayType(T.VariantType()), {"allowSingleQuotes": "false"})
     whole = (F.size(pair) == 2) & (F.try_variant_get(F.get(pair, F.lit(1)), "$", "string") == _END)
-    return F.when(whole & line.rlike(r"^[ \t]*\{"), F.get(pair, F.lit(0)))
+    is_object = line.startswith("{") | F.ltrim(line, F.lit(" \t")).startswith("{")
+    return F.when(whole & is_object, F.get(pair, F.lit(0)))
 
 
 def field_path(name: str) -> str:

@@ -25,7 +25,7 @@ def sniff_codecs(files: DataFrame) -> DataFrame:
     ).select("f.*")
 
 
-def read_lines(files: DataFrame, slice_bytes: int = 256 << 20) -> DataFrame:
+def read_lines(files: DataFrame, slice_bytes: int = 64 << 20) -> DataFrame:
     """Lines of all listed files, with ``error`` set on the one row that reports a broken file.
 
     Plain text and large bz2 files go through Spark's text source, which splits them. The other
