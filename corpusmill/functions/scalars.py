@@ -29,11 +29,11 @@ def ne_keep_missing(column: Column, value) -> Column:
 def human_bytes(size: Column) -> Column:
     """Bytes in 1024 steps with two decimals, from B to TB."""
     units = ["B", "KB", "MB", "GB", "TB"]
-    size = size.cast("double")
-    text = F.format_string("%.2f " + units[-1], size / F.lit(1024.0 ** (len(units) - 1)))
-    for power in reversed(range(len(units) - 1)):
-        scaled = size / F.lit(1024.0**power)
-        text = F.when(scaled < 1024.0, F.format_string("%.2f " + units[power], scaled)).otherwise(text)
+    text = F.lit(None).cast("string")
+    for power, unit in reversed(list(enumerate(units))):
+        scaled = size.cast("double") / F.lit(1024.0**power)
+        here = F.format_string("%.2f " + unit, F.bround(scaled, 2))
+        text = here if unit == units[-1] else F.when(scaled < 1024.0, here).otherwise(text)
     return F.when(size.isNotNull(), text)
 
 
@@ -47,7 +47,7 @@ def iso_now() -> Column:
 
 def percent(fraction: Column) -> Column:
     """A fraction as per cent text with two decimals."""
-    return F.concat(F.format_string("%.2f", fraction * 100), F.lit("%"))
+    return F.concat(F.format_string("%.2f", F.bround(fraction * 100, 2)), F.lit("%"))
 
 
 def is_blank(text: Column) -> Column:

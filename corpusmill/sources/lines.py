@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.functions import paths as P
@@ -63,3 +63,8 @@ def _scan_text(spark: SparkSession, names: list[str]) -> DataFrame:
         valid_text(F.col("value")).alias("value"),
         F.lit(None).cast("string").alias("error"),
     )
+
+
+def lines_of(df: DataFrame, path: Column, value: Column) -> DataFrame:
+    """Lines already at hand in a DataFrame, in the form :func:`read_lines` gives."""
+    return df.select(path.alias("path"), value.alias("value"), F.lit(None).cast("string").alias("error"))
