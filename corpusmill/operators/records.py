@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from corpusmill.functions import paths as P
 from corpusmill.functions.nested import clean, column_of, prune_type
 from corpusmill.functions.scalars import html_unescape, is_blank, same_text
+from corpusmill.operators.types import tolerant_cast
 
 # Field names the records are known to use.
 TOPIC_FIELD = "subreddit"
@@ -23,17 +24,35 @@ BAD, OTHER, MATCH, BROKEN = "bad", "other", "match", "broken"
 _END = "~end-of-line~"
 
 
-def parse_objects(line: Column) -> Column:
-    """The line's JSON object as a VARIANT; NULL for anything that is not exactly one object.
+def _bracketed(line: Column) -> Column:
+    """The line read as the head of a two-element list.
 
-    Parsers stop after the first value, so the line is read as the head of a two-element list
-    whose second element must still be there: text after the object then shows as an error.
+    Parsers stop after the first value, so a second element must still be there afterwards: text
+    after the object then shows as an error.
     """
     wrapped = F.concat(F.lit("["), line, F.lit(f',"{_END}"]'))
-    pair = F.from_json(wrapped, T.ArrayType(T.VariantType()), {"allowSingleQuotes": "false"})
+    return F.from_json(wrapped, T.ArrayType(T.VariantType()), {"allowSingleQuotes": "false"})
+
+
+def _starts_object(line: Column) -> Column:
+    return line.startswith("{") | F.ltrim(line, F.lit(" \t")).startswith("{")
+
+
+def _only_object(pair: Column, starts_object: Column) -> Column:
     whole = (F.size(pair) == 2) & (F.try_variant_get(F.get(pair, F.lit(1)), "$", "string") == _END)
-    is_object = line.startswith("{") | F.ltrim(line, F.lit(" \t")).startswith("{")
-    return F.when(whole & is_object, F.get(pair, F.lit(0)))
+    return F.when(starts_object & whole, F.get(pair, F.lit(0)))
+
+
+def with_objects(lines: DataFrame, column: str = "value", name: str = "parsed") -> DataFrame:
+    """Replace a text column by its JSON object as a VARIANT, NULL unless it is exactly one object.
+
+    A generator parses, so that filters on what the object holds stay above it: written as a plain
+    expression, the parse would be repeated inside every such filter.
+    """
+    others = [column_of(c) for c in lines.columns if c != column]
+    text = F.col(column)
+    paired = lines.select(*others, _starts_object(text).alias("__starts"), F.explode(F.array(_bracketed(text))).alias("__pair"))
+    return paired.select(*others, _only_object(F.col("__pair"), F.col("__starts")).alias(name))
 
 
 def field_path(name: str) -> str:
@@ -62,9 +81,7 @@ def classify_lines(lines: DataFrame, topic: str, field: str = TOPIC_FIELD) -> Da
     could not be read to its end). ``record`` is set on matches only.
     """
     broken = F.col("error").isNotNull()
-    parsed = lines.filter(broken | ~is_blank(F.col("value"))).select(
-        "path", "error", parse_objects(F.col("value")).alias("parsed")
-    )
+    parsed = with_objects(lines.filter(broken | ~is_blank(F.col("value"))))
     status = (
         F.when(broken, BROKEN)
         .when(F.col("parsed").isNull(), BAD)
@@ -135,13 +152,19 @@ def raw_name(field: str) -> str:
     return f"_{field}_raw"
 
 
+def _time_text(record: Column, name: str) -> Column:
+    return F.try_variant_get(record, field_path(name), "string")
+
+
 def _time(record: Column, name: str) -> Column:
-    # numbers lose their fraction, integer text is read, anything else is NULL
-    return F.try_variant_get(record, field_path(name), "bigint")
+    """Numbers lose their fraction, integer text is read, anything else is NULL."""
+    # a failed cast costs an exception per row, so hopeless texts do not get that far
+    hopeful = _time_text(record, name).rlike(r"^\s*([+-]?[0-9]|true$|false$)")
+    return F.when(hopeful, F.try_variant_get(record, field_path(name), "bigint"))
 
 
 def _raw_time(record: Column, name: str) -> Column:
-    return F.when(_time(record, name).isNull(), F.try_variant_get(record, field_path(name), "string"))
+    return F.when(_time(record, name).isNull(), _time_text(record, name))
 
 
 def typed_records(records: DataFrame, schema: T.StructType, column: str = "record") -> DataFrame:
@@ -199,11 +222,6 @@ def with_provenance(df: DataFrame) -> DataFrame:
     return df.withColumns(found)
 
 
-def to_integer(text: Column) -> Column:
-    """A number from an integer, fraction or integer text; NULL where there is none."""
-    return text.try_cast("bigint")
-
-
 def normalize(df: DataFrame) -> DataFrame:
     """The same light normal form for a DataFrame that already has typed columns."""
     out = []
@@ -212,7 +230,7 @@ def normalize(df: DataFrame) -> DataFrame:
         if f.name == DROPPED_FIELD:
             continue
         if f.name in TIME_FIELDS:
-            number = to_integer(value)
+            number = tolerant_cast(value, f.dataType, T.LongType())
             out.append(number.alias(f.name))
             if not isinstance(f.dataType, T.IntegralType):
                 out.append(F.when(number.isNull(), value.cast("string")).alias(f"_{f.name}_raw"))
