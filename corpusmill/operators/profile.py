@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -129,6 +131,10 @@ def _has_map(dtype: T.DataType) -> bool:
 # ---- first, last and sampled rows --------------------------------------------------------------
 
 
+# Up to this many rows are looked up by their place in the files; more are sorted out in one scan.
+LOOKUP_ROWS = 1_000
+
+
 def _file_order() -> list[Column]:
     return [F.col("_metadata.file_path"), F.col("_metadata.row_index")]
 
@@ -137,14 +143,33 @@ def _order_columns(order_by: list[str] | None) -> list[Column]:
     return [column_of(name) for name in order_by] if order_by else _file_order()
 
 
+def _near(df: DataFrame, order: list[Column], n: int, last: bool = False) -> DataFrame:
+    """A small part of ``df`` that holds its first (or last) ``n`` rows by ``order``.
+
+    The rows' places are found first, from a scan that reads no column the order and the view do
+    not need; then only the files they lie in are read in full.
+    """
+    path, row = _file_order()
+    places = df.select(path.alias("path"), row.alias("row"), *(o.alias(f"o{i}") for i, o in enumerate(order)))
+    keys = [F.desc(f"o{i}") if last else F.asc(f"o{i}") for i in range(len(order))]
+    found = places.orderBy(*keys).limit(n).select("path", "row").collect()
+    return df.filter(path.isin(sorted({p.path for p in found})) & row.isin(sorted({p.row for p in found})))
+
+
 def head(df: DataFrame, n: int = 5, order_by: list[str] | None = None) -> DataFrame:
     """The first ``n`` rows by ``order_by``, or in file order for a DataFrame read from Parquet."""
-    return df.orderBy(*_order_columns(order_by)).limit(_check_n(n))
+    order = _order_columns(order_by)
+    if not order_by and 0 < _check_n(n) <= LOOKUP_ROWS:
+        df = _near(df, order, n)
+    return df.orderBy(*order).limit(_check_n(n))
 
 
 def tail(df: DataFrame, n: int = 5, order_by: list[str] | None = None) -> DataFrame:
     """The last ``n`` rows, first to last."""
-    keys = {f"__key{i}": c for i, c in enumerate(_order_columns(order_by))}
+    order = _order_columns(order_by)
+    if not order_by and 0 < _check_n(n) <= LOOKUP_ROWS:
+        df = _near(df, order, n, last=True)
+    keys = {f"__key{i}": c for i, c in enumerate(order)}
     last = df.withColumns(keys).orderBy(*(F.desc(k) for k in keys)).limit(_check_n(n))
     return last.orderBy(*keys).drop(*keys)
 
@@ -159,7 +184,10 @@ def sample_rows(df: DataFrame, n: int = 5, seed: int = 0, key: list[str] | None
 
     ``key`` names columns that tell rows apart; a row's place in its Parquet file is the default.
     """
-    return df.orderBy(_draw(df, key, seed)).limit(max(1, n))
+    n, draw = max(1, n), _draw(df, key, seed)
+    if not key and n <= LOOKUP_ROWS:
+        df = _near(df, [draw], n)
+    return df.orderBy(draw).limit(n)
 
 
 def sample_column(df: DataFrame, column: str, n: int = 5, seed: int = 0, key: list[str] | None = None) -> DataFrame:
@@ -185,17 +213,13 @@ def sample_all_columns(df: DataFrame, n: int = 1, seed: int = 0, key: list[str]
             ],
         )
         return picked.select("column", "value")
-    entries = [
-        F.struct(
-            F.lit(f.name).alias("column"),
-            F.when(~_missing(f), _value_text(f)).alias("value"),
-            _draw(df, key, seed, F.lit(f.name)).alias("draw"),
-        )
+    # one top-n per column: each reads its own column only and keeps n rows per task
+    parts = [
+        df.filter(~_missing(f))
+        .select(F.lit(f.name).alias("column"), _value_text(f).alias("value"), _draw(df, key, seed, F.lit(f.name)).alias("draw"))
+        .orderBy("draw")
+        .limit(n)
         for f in fields
     ]
-    long = df.select(F.inline(F.array(*entries))).filter(F.col("value").isNotNull())
-    # each task keeps its own first n per column, so n rows per task and column are shuffled
-    place = F.row_number().over(Window.partitionBy("column").orderBy("draw"))
-    picked = long.withColumn("place", place).filter(F.col("place") <= n)
     names = df.sparkSession.createDataFrame([(f.name,) for f in fields], "column string")
-    return names.join(picked, "column", "left").select("column", "value")
+    return names.join(reduce(DataFrame.unionByName, parts), "column", "left").select("column", "value")

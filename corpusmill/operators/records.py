@@ -21,6 +21,9 @@ TEXT_FIELDS = ("title", "selftext", "body")
 
 BAD, OTHER, MATCH, BROKEN = "bad", "other", "match", "broken"
 
+# Plain JSON, with texts and numbers of any practical length.
+JSON_OPTIONS = {"allowSingleQuotes": "false", "maxStringLen": str(2**31 - 1), "maxNumLen": "4300"}
+
 _END = "~end-of-line~"
 
 
@@ -31,7 +34,7 @@ def _bracketed(line: Column) -> Column:
     after the object then shows as an error.
     """
     wrapped = F.concat(F.lit("["), line, F.lit(f',"{_END}"]'))
-    return F.from_json(wrapped, T.ArrayType(T.VariantType()), {"allowSingleQuotes": "false"})
+    return F.from_json(wrapped, T.ArrayType(T.VariantType()), JSON_OPTIONS)
 
 
 def _starts_object(line: Column) -> Column:
@@ -95,16 +98,24 @@ def classify_lines(lines: DataFrame, topic: str, field: str = TOPIC_FIELD) -> Da
 
 
 def ingest_counts(classified: DataFrame) -> DataFrame:
-    """Per file: ``lines_total, bad_json, matched`` and the read error, if any."""
+    """Per file: ``lines_total, bad_json, matched``. Counted in hash tables on the map side."""
     status = F.col("status")
     return classified.groupBy("path").agg(
         F.count_if(status != BROKEN).alias("lines_total"),
         F.count_if(status == BAD).alias("bad_json"),
         F.count_if(status == MATCH).alias("matched"),
-        F.max("error").alias("error"),
     )
 
 
+def read_errors(classified: DataFrame) -> DataFrame:
+    """``(path, error)`` of the files that could not be read to their end.
+
+    Apart from the counters, because text cannot be kept in the counters' hash tables: one text
+    column among them would make Spark sort all lines by file.
+    """
+    return classified.filter(F.col("status") == BROKEN).groupBy("path").agg(F.max("error").alias("error"))
+
+
 def count_totals(counts: DataFrame) -> DataFrame:
     """Per-file counters with one more row, ``path`` NULL, for the whole run."""
     return counts.rollup("path").agg(

@@ -16,6 +16,7 @@ from corpusmill.operators.records import (
     classify_lines,
     count_totals,
     ingest_counts,
+    read_errors,
     record_schema,
     typed_records,
 )
@@ -88,7 +89,13 @@ def build_topic(
         lines = spark.read.parquet(staging)
 
         # one row per file from here on
-        counts = files.select("path").join(ingest_counts(lines), "path", "left").fillna(0).persist()
+        counts = (
+            files.select("path")
+            .join(ingest_counts(lines), "path", "left")
+            .fillna(0)
+            .join(read_errors(lines), "path", "left")
+            .persist()
+        )
         totals = {r.path: r for r in count_totals(counts).filter("path IS NULL").collect()}[None]
         n_files, n_broken = counts.agg(F.count(F.lit(1)), F.count("error")).first()
 
@@ -99,9 +106,7 @@ def build_topic(
             if target is not None:
                 result = align_to_schema(result, target)
             folders = tuple(c for c in FOLDERS if c in result.columns) if target is None else ()
-            if folders:
-                result = spread_for_write(result, *folders)
-            rows = write_parquet(result, out, compression, folders, rows_per_group=rows_per_group)
+            rows = write_parquet(spread_for_write(result, *folders), out, compression, folders, rows_per_group=rows_per_group)
 
         status = "ok" if totals.matched else "no_matches"
         finish = {

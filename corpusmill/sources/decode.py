@@ -28,6 +28,7 @@ except ImportError:  # reported when a zstd file is met
     zstandard = None
 
 BLOCK_BYTES = 8 << 20
+BATCH_LINES = 10_000
 MAX_ZSTD_WINDOW = 1 << 31
 
 # Leading bytes of each format.
@@ -95,10 +96,10 @@ def sniff(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             try:
                 with _Storage(path) as raw:
                     head = io.BufferedReader(raw).read(8)
+                codec = next((name for name, magic in MAGIC.items() if head.startswith(magic)), None)
+                codec = codec or CODEC_OF_EXTENSION.get(os.path.splitext(path)[1].lower(), "plain")
             except Unreadable:
-                head = b""
-            codec = next((name for name, magic in MAGIC.items() if head.startswith(magic)), None)
-            codec = codec or CODEC_OF_EXTENSION.get(os.path.splitext(path)[1].lower(), "plain")
+                codec = "unreadable"
             local = "://" not in path
             rows.append(
                 {"path": path, "length": length, "codec": codec, "real_path": os.path.realpath(path) if local else path}
@@ -198,7 +199,9 @@ def decode_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 with _Storage(task["path"]) as raw:
                     stream = _decoded(io.BufferedReader(raw, 1 << 20), task["codec"])
                     for text in owned_text(_blocks(stream), task["slice_no"], task["slices"]):
-                        yield _rows(task["path"], _split(text))
+                        lines = _split(text)
+                        for start in range(0, len(lines), BATCH_LINES):
+                            yield _rows(task["path"], lines.slice(start, BATCH_LINES))
             except corrupt as error:
                 if task["slice_no"] == 0:
                     yield _rows(task["path"], pa.nulls(1, pa.string()), f"{type(error).__name__}: {error}")

@@ -80,6 +80,12 @@ def test_head_and_tail_follow_file_order(spark, tmp_path):
     assert [r.id for r in R.head(df, 3).collect()] == [0, 1, 2]
     assert [r.id for r in R.tail(df, 3).collect()] == [14997, 14998, 14999]
     assert [r.id for r in R.tail(df.filter("id % 2 = 0"), 2, order_by=["id"]).collect()] == [14996, 14998]
+    assert [r.id for r in R.head(df, 1001).collect()] == list(range(1001))
+    assert [r.id for r in R.tail(df, 1001).collect()] == list(range(13999, 15000))
+    assert [r.id for r in R.head(df.filter("id > 4998"), 2).collect()] == [4999, 5000]
+    drawn = [r.id for r in R.sample_rows(df, 30, seed=2).collect()]
+    assert len(set(drawn)) == 30 and len({i // 5000 for i in drawn}) == 3
+    assert drawn == [r.id for r in R.sample_rows(df, 2000, seed=2).collect()][:30]
     assert R.head(df, 0).count() == 0
     with pytest.raises(ValueError):
         R.head(df, -1)

@@ -145,6 +145,11 @@ def test_counts_add_up_and_do_not_depend_on_partitions(spark):
     assert results[0] == results[1] == (105, 21, 56)
 
 
+def test_counters_are_hashed_not_sorted(spark):
+    plan = R.ingest_counts(R.classify_lines(frame(spark, RAW_LINES), "swim"))._jdf.queryExecution().executedPlan()
+    assert "SortAggregate" not in plan.toString() and "HashAggregate" in plan.toString()
+
+
 def test_no_match_gives_an_empty_schema(spark):
     classified = R.classify_lines(frame(spark, RAW_LINES), "nobody")
     assert R.record_schema(classified.filter("status = 'match'")).fields == []

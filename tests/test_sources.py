@@ -87,6 +87,15 @@ def test_a_broken_file_is_reported_and_the_others_are_read(spark, tmp_path):
     assert sorted(r.value for r in rows if r.path.endswith("good.gz")) == ["a", "b"]
 
 
+def test_a_file_that_is_gone_is_reported(spark, tmp_path):
+    (tmp_path / "here.jsonl").write_text("x\n")
+    files = spark.createDataFrame(
+        [(str(tmp_path / "here.jsonl"), 2), (str(tmp_path / "gone.jsonl"), 9)], "path string, length bigint"
+    )
+    rows = {os.path.basename(r.path): (r.value, bool(r.error)) for r in read_lines(files).collect()}
+    assert rows == {"here.jsonl": ("x", False), "gone.jsonl": (None, True)}
+
+
 def test_two_links_to_one_file_are_read_once(spark, tmp_path):
     (tmp_path / "a.jsonl").write_text("x\n")
     (tmp_path / "b.jsonl").symlink_to(tmp_path / "a.jsonl")
