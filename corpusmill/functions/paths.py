@@ -77,3 +77,18 @@ def dump_month(name: Column) -> Column:
 def escape_glob(path: str) -> str:
     """Spark expands globs in the paths it is given; a listed file must be taken literally."""
     return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
+
+
+def glob_pattern(glob: str) -> str:
+    """A regular expression for a relative-path glob, where ``**/`` stands for any folders."""
+    parts = re.split(r"(\*\*/|\*+|\?|\[[^\]]+\])", glob)
+    meaning = {"**/": "(?:[^/]+/)*", "?": "[^/]"}
+    out = []
+    for part in parts:
+        if part.startswith("["):
+            out.append("[^" + part[2:] if part.startswith("[!") else part)
+        elif part.strip("*") == "" and part:
+            out.append("[^/]*")
+        else:
+            out.append(meaning.get(part, re.escape(part)))
+    return "^" + "".join(out) + "$"

@@ -146,17 +146,24 @@ def record_schema(records: DataFrame, column: str = "record") -> T.StructType:
     A distributed aggregation; fields without a value in any record are left out. Where some time
     value is no number, the schema also gets a text column for it.
     """
+    return inferred_fields(records, column)[0]
+
+
+def inferred_fields(records: DataFrame, column: str = "record") -> tuple[T.StructType, list[str]]:
+    """:func:`record_schema`, and the names of the fields it leaves out."""
     record = F.col(column)
     odd_times = [F.bool_or(_raw_time(record, name).isNotNull()) for name in TIME_FIELDS]
     found, *odd = records.agg(F.schema_of_variant_agg(column), *odd_times).first()
     if not found or not found.startswith("OBJECT<"):
-        return T.StructType([])
+        return T.StructType([]), []
     # the function spells structs OBJECT; names are back-quoted wherever they need it
     ddl = re.sub(r"`(?:[^`]|``)*`|\bOBJECT<", lambda m: "STRUCT<" if m[0] == "OBJECT<" else m[0], found)
-    schema = prune_type(T.DataType.fromDDL(ddl)) or T.StructType([])
-    fields = [T.StructField(f.name, _spark_type(f.dataType), True) for f in schema.fields]
-    raw = [T.StructField(raw_name(name), T.StringType(), True) for name, needed in zip(TIME_FIELDS, odd) if needed]
-    return T.StructType([f for f in fields if f.name not in {r.name for r in raw}] + raw)
+    seen = T.DataType.fromDDL(ddl)
+    kept = prune_type(seen) or T.StructType([])
+    raw = {raw_name(name): needed for name, needed in zip(TIME_FIELDS, odd)}
+    fields = [T.StructField(f.name, _spark_type(f.dataType), True) for f in kept.fields if not raw.get(f.name)]
+    fields += [T.StructField(name, T.StringType(), True) for name, needed in raw.items() if needed]
+    return T.StructType(fields), [name for name in seen.names if name not in set(kept.names)]
 
 
 def raw_name(field: str) -> str:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusmill.functions import paths as P
+from corpusmill.functions.nested import prune_type
 from corpusmill.operators.types import StoredType, align_to_schema, common_type
 from corpusmill.sources.parquet import parquet_footers
 
@@ -42,7 +43,9 @@ def _target(rows: list, order: str, fallback: str, numeric_conflict: str) -> T.S
             kinds = ", ".join(sorted(t.detail for t in row.types if not t.spark))
             raise TypeError(f"column {row.name!r} in {row.unreadable} has a type Spark cannot read: {kinds}")
         types = [StoredType(t.family, t.detail, t.spark) for t in row.types]
-        fields.append(T.StructField(row.name, common_type(types, fallback, numeric_conflict), True))
+        # what no file gives a storable type stays as a column without values
+        dtype = prune_type(common_type(types, fallback, numeric_conflict)) or T.StringType()
+        fields.append(T.StructField(row.name, dtype, True))
     return T.StructType(fields)
 
 
@@ -74,20 +77,15 @@ def union_files(
     spark = files.sparkSession
     footers = _readable(files).persist()
     try:
-        target, groups, disputed = _scan_groups(footers, order, fallback, numeric_conflict)
+        target, groups, disputed, settled = _scan_groups(footers, order, fallback, numeric_conflict)
     finally:
         footers.unpersist()
     parts = []
     for group in sorted(groups, key=lambda g: min(g.paths)):
-        own = dict(zip(disputed, group.signature))
-        # columns stored without a type have no values: they are left to the alignment
-        schema = T.StructType(
-            [
-                T.StructField(f.name, T._parse_datatype_json_string(own[f.name]) if f.name in own else f.dataType, True)
-                for f in target.fields
-                if own.get(f.name, "") not in (None, '"void"')
-            ]
-        )
+        stored = settled | dict(zip(disputed, group.signature))
+        # columns that this group lacks, or stores without values, are left to the alignment
+        types = [(f.name, stored[f.name] and prune_type(T._parse_datatype_json_string(stored[f.name]))) for f in target.fields]
+        schema = T.StructType([T.StructField(name, dtype, True) for name, dtype in types if dtype])
         scan = spark.read.schema(schema).parquet(*[P.escape_glob(p) for p in sorted(group.paths)])
         parts.append(align_to_schema(scan, target))
     if not parts:
@@ -96,10 +94,13 @@ def union_files(
 
 
 def _scan_groups(footers: DataFrame, order: str, fallback: str, numeric_conflict: str) -> tuple:
-    """The union schema, the files per combination of disputed types, and the disputed names."""
+    """The union schema, the files per combination of disputed types, the disputed names, and the
+    stored type of every other name."""
     rows = _column_types(footers)
     target = _target(rows, order, fallback, numeric_conflict)
-    disputed = sorted(r.name for r in rows if len({t.spark for t in r.types}) > 1)
+    stored_as = {r.name: {t.spark for t in r.types} for r in rows}
+    disputed = sorted(name for name, types in stored_as.items() if len(types) > 1)
+    settled = {name: next(iter(types)) for name, types in stored_as.items() if len(types) == 1}
     stored = F.expr("map_from_entries(transform(columns, c -> struct(c.name, c.spark)))")
     signature = F.array(*(stored[name] for name in disputed)) if disputed else F.array().cast("array<string>")
     # file names only, as many as a scan of these files has to list anyway
@@ -110,7 +111,7 @@ def _scan_groups(footers: DataFrame, order: str, fallback: str, numeric_conflict
         .agg(F.collect_list("path").alias("paths"))
         .collect()
     )
-    return target, groups, disputed
+    return target, groups, disputed, settled
 
 
 def union_by_name(

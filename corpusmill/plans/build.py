@@ -15,6 +15,7 @@ from corpusmill.operators.records import (
     TOPIC_FIELD,
     classify_lines,
     count_totals,
+    inferred_fields,
     ingest_counts,
     read_errors,
     record_schema,
@@ -23,11 +24,14 @@ from corpusmill.operators.records import (
 from corpusmill.operators.types import align_to_schema
 from corpusmill.session import delete_path, prepare, scratch_dir
 from corpusmill.sinks.write import parquet_codec, spread_for_write, write_parquet, write_report
-from corpusmill.sources.files import list_dumps
+from corpusmill.sources.files import list_dumps, list_files
 from corpusmill.sources.lines import read_lines
 from corpusmill.sources.parquet import parquet_schema
 
 FOLDERS = ("_kind", "_month")
+# Staged files hold one dump each. Below this mean size the result is shuffled into fewer, even files;
+# above it, it is written as it was read.
+SPREAD_BELOW = 64 << 20
 
 
 class NoRecords(LookupError):
@@ -99,14 +103,17 @@ def build_topic(
         totals = {r.path: r for r in count_totals(counts).filter("path IS NULL").collect()}[None]
         n_files, n_broken = counts.agg(F.count(F.lit(1)), F.count("error")).first()
 
-        rows = 0
+        rows, dropped = 0, []
         if totals.matched:
             records = lines.filter(F.col("status") == MATCH).select("path", "record")
-            result = typed_records(records, record_schema(records))
+            schema, dropped = inferred_fields(records)
+            result = typed_records(records, schema)
             if target is not None:
                 result = align_to_schema(result, target)
-            folders = tuple(c for c in FOLDERS if c in result.columns) if target is None else ()
-            rows = write_parquet(spread_for_write(result, *folders), out, compression, folders, rows_per_group=rows_per_group)
+            folders = FOLDERS if target is None else ()
+            if _mean_size(spark, staging) < SPREAD_BELOW:
+                result = spread_for_write(result, *folders)
+            rows = write_parquet(result, out, compression, folders, rows_per_group=rows_per_group)
 
         status = "ok" if totals.matched else "no_matches"
         finish = {
@@ -118,7 +125,7 @@ def build_topic(
             "matched": totals.matched,
             "rows_written": rows,
         }
-        write_report(ingest_report(counts, _events(spark, "start", settings, finish)), report)
+        write_report(ingest_report(counts, _events(spark, "start", settings, finish, dropped)), report)
         counts.unpersist()
         if not totals.matched:
             raise NoRecords(f"no records with {field} = {topic!r}; nothing written")
@@ -131,14 +138,22 @@ def build_topic(
             delete_path(spark, staging)
 
 
-def _events(spark: SparkSession, status: str, settings: dict, finish: dict | None = None) -> DataFrame:
+def _mean_size(spark: SparkSession, folder: str) -> float:
+    return list_files(spark, folder, "*.parquet").agg(F.avg("length")).first()[0] or 0.0
+
+
+def _events(
+    spark: SparkSession, status: str, settings: dict, finish: dict | None = None, dropped: list[str] | None = None
+) -> DataFrame:
     """The run's own log entries: its settings, and its totals when it came to an end."""
-    rows = [("config", status, settings, None)]
+    rows = [("config", status, settings, None, None)]
     if finish:
         numbers = {k: int(v) for k, v in finish.items() if k != "status"}
-        rows.append(("finish", finish["status"], None, numbers))
+        rows.append(("finish", finish["status"], None, numbers, dropped))
     return spark.createDataFrame(
-        rows, "event string, status string, settings map<string,string>, totals map<string,bigint>"
+        rows,
+        "event string, status string, settings map<string,string>, totals map<string,bigint>,"
+        " dropped_fields array<string>",
     ).select(iso_now().alias("ts"), "*")
 
 

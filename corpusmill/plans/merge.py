@@ -26,27 +26,35 @@ def merge_folder(
     spark: SparkSession,
     folder: str,
     out: str,
-    glob: str = "*.parquet",
-    recursive: bool = True,
+    pattern: str = "**/*.parquet",
     compression: str = "snappy",
     rows_per_group: int = 1_000_000,
     order: str = "first_seen",
     fallback: str = "string",
     numeric_conflict: str = "double",
 ) -> MergeResult:
-    """Write the union of all Parquet files below ``folder`` to ``out``.
+    """Write the union of the Parquet files below ``folder`` to ``out``.
 
-    Only files whose names end in ``.parquet`` count, whatever else ``glob`` admits.
+    ``pattern`` is matched against paths relative to ``folder``. Only files whose names end in
+    ``.parquet``, in any case, count, whatever else it admits.
     """
     prepare(spark)
     parquet_codec(compression)
     source, target = P.local_path_part(folder), P.local_path_part(out)
     if target == source or target.startswith(source.rstrip("/") + "/"):
         raise ValueError(f"{out} lies inside {folder}: a second run would read its own output")
-    files = list_files(spark, folder, glob, recursive).filter(F.lower("name").endswith(".parquet"))
-    count = files.count()
-    if not count:
-        raise FileNotFoundError(f"no Parquet files below {folder} that match {glob!r}")
-    merged = union_files(files, order, fallback, numeric_conflict)
+    below = P.relative_path(F.col("path"), folder)
+    files = (
+        list_files(spark, folder)
+        .filter(F.lower("name").endswith(".parquet") & below.rlike(P.glob_pattern(pattern)))
+        .persist()
+    )
+    try:
+        count = files.count()
+        if not count:
+            raise FileNotFoundError(f"no Parquet files below {folder} that match {pattern!r}")
+        merged = union_files(files, order, fallback, numeric_conflict)
+    finally:
+        files.unpersist()
     rows = write_parquet(merged, out, compression, rows_per_group=rows_per_group)
     return MergeResult(out, count, rows, len(merged.columns))

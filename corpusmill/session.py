@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -54,6 +56,7 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         if _local_scratch is None:
             _local_scratch = tempfile.mkdtemp(prefix="corpusmill-")
+            atexit.register(shutil.rmtree, _local_scratch, ignore_errors=True)
         base = _local_scratch
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 

@@ -58,6 +58,7 @@ def test_build(spark, dumps, tmp_path):
     assert files["cut.gz"].error
     finish = next(r for r in report if r.event == "finish")
     assert (finish.status, finish.totals.matched, finish.totals.rows_written) == ("ok", 103, 103)
+    assert finish.dropped_fields == ["gone"]
     config = next(r for r in report if r.event == "config")
     assert config.settings.topic == "swim" and config.ts
 

@@ -187,3 +187,16 @@ def test_kind_and_month(spark, name, kind, month):
 def test_extension(spark, path, ext):
     assert spark.createDataFrame([(path,)], "p string").select(P.extension(F.col("p"))).first()[0] == ext
     assert os.path.splitext(path)[1].lower() == ext
+
+
+@pytest.mark.parametrize(
+    "glob, path, matches",
+    [
+        ("**/*.parquet", "a.parquet", True), ("**/*.parquet", "x/y/a.parquet", True), ("**/*.parquet", "a.PARQUET", False),
+        ("*.parquet", "x/a.parquet", False), ("x/**/b?.p*", "x/y/z/b1.parquet", True), ("a[0-9]+.p", "a1+.p", True),
+        ("a[!0-9].p", "a1.p", False), ("a(b).p", "a(b).p", True), ("a.p", "aXp", False),
+    ],
+)
+def test_glob_pattern(spark, glob, path, matches):
+    df = spark.createDataFrame([(path,)], "p string")
+    assert df.filter(F.col("p").rlike(P.glob_pattern(glob))).count() == int(matches)

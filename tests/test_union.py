@@ -99,6 +99,17 @@ def test_one_scan_when_files_agree(spark, tmp_path):
     assert len(df.columns) == 7
 
 
+def test_columns_without_a_type(spark, tmp_path):
+    hollow = pa.struct([("x", pa.null()), ("y", pa.int32())])
+    store(tmp_path / "a.parquet", n=pa.nulls(2), s=pa.array([{"y": 1}, None], hollow), l=pa.array([[], None], pa.list_(pa.null())))
+    store(tmp_path / "b.parquet", k=pa.array([1]), l=pa.array([[5]]))
+    df = union_files(list_files(spark, str(tmp_path), "*.parquet"))
+    assert dict(df.dtypes) == {"n": "string", "s": "struct<y:int>", "l": "string", "k": "bigint"}
+    assert sorted(((str(r.s), r.l, r.k, r.n) for r in df.collect()), key=str) == sorted(
+        [("Row(y=1)", None, None, None), ("None", None, None, None), ("None", "[5]", 1, None)], key=str
+    )
+
+
 def test_unsupported_type_and_unreadable_file_are_errors(spark, tmp_path):
     store(tmp_path / "t" / "a.parquet", t=pa.array([dt.time(1, 2)]))
     with pytest.raises(TypeError, match="time64"):
@@ -120,6 +131,8 @@ def test_merge_folder(spark, merge_in, tmp_path):
     with pytest.raises(ValueError, match="lies inside"):
         merge_folder(spark, str(merge_in), str(merge_in / "out"))
     with pytest.raises(FileNotFoundError):
-        merge_folder(spark, str(merge_in), out, glob="*.nope")
+        merge_folder(spark, str(merge_in), out, pattern="*.nope")
+    assert merge_folder(spark, str(merge_in), out, pattern="sub/*").files == 2
+    assert merge_folder(spark, str(merge_in), out, pattern="f[!13].parquet").files == 2
     with pytest.raises(ValueError, match="brotli"):
         merge_folder(spark, str(merge_in), out, compression="brotli")
