@@ -25,17 +25,18 @@ def sniff_codecs(files: DataFrame) -> DataFrame:
     ).select("f.*")
 
 
-def read_lines(files: DataFrame, slice_bytes: int = 64 << 20) -> DataFrame:
+def read_lines(files: DataFrame, slice_bytes: int = 16 << 20) -> DataFrame:
     """Lines of all listed files, with ``error`` set on the one row that reports a broken file.
 
     Plain text and large bz2 files go through Spark's text source, which splits them. The other
-    codecs cannot be split, so they go to a decode job, one task per file. A file holding more than
-    one task's fair share of the data (and more than ``slice_bytes``) is shared by several tasks.
+    codecs cannot be split, so they go to a decode job, one task per file. A file larger than
+    ``slice_bytes`` and than a task's fair share (a third of what one core gets) is shared by several.
     Only file names pass through the driver, as they do for any Spark file scan.
     """
     spark = files.sparkSession
     found = sniff_codecs(files).collect()
-    fair_share = sum(f.length for f in found) // max(1, spark.sparkContext.defaultParallelism)
+    # three tasks per core even out their lengths
+    fair_share = sum(f.length for f in found) // max(1, 3 * spark.sparkContext.defaultParallelism)
     task_bytes = max(slice_bytes, fair_share)
     splittable, tasks = [], []
     for f in found:
@@ -46,12 +47,12 @@ def read_lines(files: DataFrame, slice_bytes: int = 64 << 20) -> DataFrame:
             tasks += [(f.path, f.codec, number, slices) for number in range(slices)]
 
     parts = []
-    if splittable:
-        parts.append(_scan_text(spark, splittable))
     if tasks:
         plan = spark.createDataFrame(tasks, "path string, codec string, slice_no int, slices int")
-        # one file slice per task
+        # one file slice per task; these are the longest tasks, so they come first
         parts.append(plan.repartition(len(tasks)).mapInArrow(decode.decode_lines, decode.LINES_SCHEMA))
+    if splittable:
+        parts.append(_scan_text(spark, splittable))
     if not parts:
         return spark.createDataFrame([], decode.LINES_SCHEMA)
     return reduce(DataFrame.unionByName, parts)
