@@ -46,18 +46,6 @@ def _only_object(pair: Column, starts_object: Column) -> Column:
     return F.when(starts_object & whole, F.get(pair, F.lit(0)))
 
 
-def with_objects(lines: DataFrame, column: str = "value", name: str = "parsed") -> DataFrame:
-    """Replace a text column by its JSON object as a VARIANT, NULL unless it is exactly one object.
-
-    A generator parses, so that filters on what the object holds stay above it: written as a plain
-    expression, the parse would be repeated inside every such filter.
-    """
-    others = [column_of(c) for c in lines.columns if c != column]
-    text = F.col(column)
-    paired = lines.select(*others, _starts_object(text).alias("__starts"), F.explode(F.array(_bracketed(text))).alias("__pair"))
-    return paired.select(*others, _only_object(F.col("__pair"), F.col("__starts")).alias(name))
-
-
 def field_path(name: str) -> str:
     return "$['" + name.replace("\\", "\\\\").replace("'", "\\'") + "']"
 
@@ -83,17 +71,24 @@ def classify_lines(lines: DataFrame, topic: str, field: str = TOPIC_FIELD) -> Da
     ``status`` is ``match``, ``other``, ``bad`` (not one JSON object) or ``broken`` (a file that
     could not be read to its end). ``record`` is set on matches only.
     """
-    broken = F.col("error").isNotNull()
-    parsed = with_objects(lines.filter(broken | ~is_blank(F.col("value"))))
-    status = (
-        F.when(broken, BROKEN)
-        .when(F.col("parsed").isNull(), BAD)
-        .when(is_topic(F.col("parsed"), topic, field), MATCH)
-        .otherwise(OTHER)
+    broken, text = F.col("error").isNotNull(), F.col("value")
+
+    def judged(record: Column) -> Column:
+        status = F.when(record.isNull(), BAD).when(is_topic(record, topic, field), MATCH).otherwise(OTHER)
+        return F.struct(status.alias("verdict"), record.alias("parsed"))
+
+    # Each step names the result of the one before, and a generator ends them, so that a line is
+    # parsed and judged once: as plain expressions they would be repeated in every filter above.
+    pairs = F.array(_bracketed(text))
+    objects = F.transform(pairs, lambda pair: _only_object(pair, _starts_object(text)))
+    verdicts = lines.filter(broken | ~is_blank(text)).select(
+        "path", "error", F.inline(F.transform(objects, judged))
     )
-    judged = parsed.select("path", status.alias("status"), "parsed", "error")
-    return judged.select(
-        "path", "status", F.when(F.col("status") == MATCH, F.col("parsed")).alias("record"), "error"
+    return verdicts.select(
+        "path",
+        F.when(broken, BROKEN).otherwise(F.col("verdict")).alias("status"),
+        F.when(F.col("verdict") == MATCH, F.col("parsed")).alias("record"),
+        "error",
     )
 
 
