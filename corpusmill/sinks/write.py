@@ -86,5 +86,5 @@ def write_csv(df: DataFrame, path: str, n: int | None = None, mode: str = "overw
 
 
 def write_report(report: DataFrame, path: str) -> None:
-    """JSON lines, replaced at each run."""
-    report.write.mode("overwrite").json(path)
+    """JSON lines in one file, replaced at each run: a row per input file and a few for the run."""
+    report.coalesce(1).write.mode("overwrite").json(path)

@@ -496,7 +496,7 @@ def blank_text(spark, sf_dir):
 def _stored_lineitem(spark: SparkSession, sf_dir: str) -> str:
     folder = scratch_dir(spark, "lineitem")
     write_parquet(
-        _table(spark, sf_dir, "lineitem"), folder, "snappy", ("l_returnflag", "l_linestatus"), rows_per_file=5_000
+        _table(spark, sf_dir, "lineitem"), folder, "snappy", ("l_returnflag", "l_linestatus"), rows_per_file=50_000
     )
     return folder
 
@@ -591,18 +591,17 @@ def decode_codecs(spark, sf_dir):
     )
 
 
-def _document_dumps(spark: SparkSession, sf_dir: str) -> str:
+def _document_dumps(spark: SparkSession, sf_dir: str, codec: str) -> str:
     folder = scratch_dir(spark, "dumps")
-    docs = _document_json(spark, sf_dir).select(F.col("line").alias("value"))
-    # the text writer names its files .txt.gz: a dump by its ending
-    docs.write.option("compression", "gzip").text(folder)
+    docs = _table(spark, sf_dir, "documents").select(F.upper("source").alias("subreddit"), "doc_id", "lang", "text", "n_chars")
+    docs.write.option("compression", codec).json(folder)
     return folder
 
 
 @query
 def build_topic_table(spark, sf_dir):
     out = scratch_dir(spark, "topic")
-    build_topic(spark, _document_dumps(spark, sf_dir), out, "SRC3")
+    build_topic(spark, _document_dumps(spark, sf_dir, "none"), out, "SRC3")
     return read_parquet(spark, out, ["doc_id", "subreddit", "lang", "text", "n_chars"])
 
 
@@ -612,7 +611,7 @@ def build_topic_aligned(spark, sf_dir):
     _table(spark, sf_dir, "documents").select(
         "text", F.col("n_chars").cast("int").alias("n_chars"), "doc_id", F.lit("").alias("absent")
     ).write.parquet(like)
-    build_topic(spark, _document_dumps(spark, sf_dir), out, "src5", schema_from=like)
+    build_topic(spark, _document_dumps(spark, sf_dir, "bzip2"), out, "src5", schema_from=like)
     assert parquet_schema(spark, out) == parquet_schema(spark, like)
     return read_parquet(spark, out)
 
@@ -620,7 +619,7 @@ def build_topic_aligned(spark, sf_dir):
 @query
 def build_topic_report(spark, sf_dir):
     out = scratch_dir(spark, "topic")
-    build_topic(spark, _document_dumps(spark, sf_dir), out, "src3")
+    build_topic(spark, _document_dumps(spark, sf_dir, "gzip"), out, "src3")
     report = spark.read.json(f"{out}.report")
     return report.groupBy("event").agg(
         F.sum("lines_total").alias("lines_total"),
