@@ -1,10 +1,10 @@
 """SimHash near-duplicates by deletion-variant signatures.
 
 Fingerprints of 64 bits that differ in at most two bits agree, in one of two halves, up to one bit. Every half is
-therefore indexed under its 32 variants with one bit left out: two fingerprints within reach share a variant key. Keys
-met by two fingerprints name a pair at once; the few keys met by more are cut again into thirds of the bits that the
-key leaves open (at most two of those differ, so one third is equal) and joined on equality. Pairs are verified in
-full. Everything runs on distinct fingerprints: copies come back as members of their class and are never paired.
+therefore indexed under its 32 variants with one bit left out: two fingerprints within reach share a variant key. The
+members of keys met more than once are cut again, into thirds of the bits that their key leaves open (at most two of
+those differ, so one third is equal), and joined on key and third, so a crowded key never pairs all its members. Pairs
+are verified in full and come out once. Everything runs on distinct fingerprints: copies come back as members of their class and are never paired.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.llm.common import shuffle_partitions, stage, utf8
@@ -77,45 +77,48 @@ def _variants(prints: DataFrame) -> DataFrame:
     return prints.select("fp", F.explode(F.array(*keys)).alias("key"))
 
 
-def _near(a: Column, b: Column) -> Column:
-    return F.bit_count(a.bitwiseXOR(b)) <= MAX_BITS
+def _close(a: Column, b: Column, key: Column, cell: Column) -> Column:
+    """True for a pair within reach, at the first key and the first cell that it shares, so a pair comes out once."""
+    apart = a.bitwiseXOR(b)
+    low, high = _half(apart, 0), _half(apart, 1)
+    # one bit of the low half differs: the number of bits below it is its place
+    bit = F.when(low == 0, 0).otherwise(F.bit_count(low - 1))
+    first_key = F.when(F.bit_count(low) <= 1, bit).otherwise(F.lit(32))
+    # beyond the key, the halves differ in the open bits only
+    half = F.when(F.bit_count(low) <= 1, high).otherwise(low)
+    thirds = [F.shiftrightunsigned(half, 11 * n).bitwiseAND(F.lit(0x7FF)) for n in range(2)]
+    first_cell = F.when(thirds[0] == 0, 0).when(thirds[1] == 0, 1).otherwise(2)
+    return (
+        (F.bit_count(apart) <= MAX_BITS)
+        & (F.shiftrightunsigned(key, 32) == first_key)
+        & (F.shiftrightunsigned(cell, 11) == first_cell)
+    )
 
 
 def links(prints: DataFrame) -> DataFrame:
     """All pairs ``(a, b)``, a < b, of the distinct fingerprints ``fp`` that differ in one or two bits."""
     spark = prints.sparkSession
     spread = stage(prints.select("fp").repartition(shuffle_partitions(spark)), "fingerprints")
-    variants = _variants(spread)
-    met = stage(
-        variants.groupBy("key")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b"))
-        .where("n > 1"),
-        "variant-keys",
-    )
-    pairs = met.where((F.col("n") == 2) & _near(F.col("a"), F.col("b"))).select("a", "b")
+    # few keys are met twice: only their members go on
+    met = F.count(F.lit(1)).over(Window.partitionBy("key"))
+    members = stage(_variants(spread).withColumn("n", met).where("n > 1").drop("n"), "variant-keys")
 
-    crowded = variants.join(met.where("n > 2").select("key"), "key", "left_semi")
-    # what the key leaves open: the other half, and the bit left out; thirds of 11 bits
-    half = F.shiftrightunsigned("key", 37).bitwiseAND(F.lit(1))
+    # what a key leaves open is the other half and the bit left out: thirds of 11 bits, the bit being the last one
+    low_key = F.shiftrightunsigned("key", 37) == 0
     bit = F.shiftrightunsigned("key", 32).bitwiseAND(F.lit(31)).cast("int")
-    other = F.when(half == 0, _half(F.col("fp"), 1)).otherwise(_half(F.col("fp"), 0))
-    own = F.when(half == 0, _half(F.col("fp"), 0)).otherwise(_half(F.col("fp"), 1))
+    other = F.when(low_key, _half(F.col("fp"), 1)).otherwise(_half(F.col("fp"), 0))
+    own = F.when(low_key, _half(F.col("fp"), 0)).otherwise(_half(F.col("fp"), 1))
     left_out = F.call_function("shiftrightunsigned", own, bit).bitwiseAND(F.lit(1))
     rest = other.bitwiseOR(F.shiftleft(left_out, 32))
     thirds = [
         F.shiftrightunsigned(rest, 11 * n).bitwiseAND(F.lit(0x7FF)).bitwiseOR(F.lit(n << 11)) for n in range(3)
     ]
-    cells = stage(crowded.select("key", "fp", F.explode(F.array(*thirds)).alias("cell")), "variant-cells")
-    left, right = cells.alias("l"), cells.alias("r")
-    close = left.join(
-        right,
-        (F.col("l.key") == F.col("r.key"))
-        & (F.col("l.cell") == F.col("r.cell"))
-        & (F.col("l.fp") < F.col("r.fp"))
-        & _near(F.col("l.fp"), F.col("r.fp")),
+    cells = stage(members.select("key", "fp", F.explode(F.array(*thirds)).alias("cell")), "variant-cells")
+    same_cell = (F.col("l.key") == F.col("r.key")) & (F.col("l.cell") == F.col("r.cell")) & (F.col("l.fp") < F.col("r.fp"))
+    close = cells.alias("l").join(
+        cells.alias("r"), same_cell & _close(F.col("l.fp"), F.col("r.fp"), F.col("l.key"), F.col("l.cell"))
     )
-    more = close.select(F.col("l.fp").alias("a"), F.col("r.fp").alias("b"))
-    return pairs.unionByName(more).distinct()
+    return close.select(F.col("l.fp").alias("a"), F.col("r.fp").alias("b"))
 
 
 def near_duplicates(
