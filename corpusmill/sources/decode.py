@@ -1,16 +1,14 @@
-"""Per-task decoding of compressed text files that Spark's own text source cannot read or split.
+"""Per-task decoding of compressed text files that Spark's own text source cannot read, or not safely.
 
-Runs inside ``mapInArrow``: each input row names a file and the slice of it to emit. A slice is
-every n-th block of the decoded stream; a line belongs to the block it starts in. All slices of a
-file decode the whole stream, which is cheap next to parsing the lines, so one huge file can feed
-many tasks. Memory stays at one block plus one unfinished line.
+Runs inside ``mapInArrow``: each input row names a file, each output row holds some whole lines of it. A stream is decoded
+once, piece by piece; memory stays at one block plus one unfinished line. Where a stream breaks, every whole line decoded
+before the break has been given out, and an error row follows: the same for all codecs and sizes.
 """
 
 from __future__ import annotations
 
 import bz2
 import codecs
-import gzip
 import io
 import lzma
 import os
@@ -27,8 +25,10 @@ try:
 except ImportError:  # reported when a zstd file is met
     zstandard = None
 
-BLOCK_BYTES = 8 << 20
-BATCH_LINES = 10_000
+# Bytes read at a time, the most one call may decode them to, and the text of one output row, about.
+READ_BYTES = 64 << 10
+PIECE_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 MAX_ZSTD_WINDOW = 1 << 31
 
 # Leading bytes of each format.
@@ -41,8 +41,8 @@ MAGIC = {
 CODEC_OF_EXTENSION = {".zst": "zstd", ".zstd": "zstd", ".xz": "xz", ".bz2": "bz2", ".gz": "gz"}
 
 SNIFF_SCHEMA = "path string, length long, codec string, real_path string"
-LINES_SCHEMA = "path string, value string, error string"
-_LINES_ARROW = pa.schema([("path", pa.string()), ("value", pa.string()), ("error", pa.string())])
+BLOCKS_SCHEMA = "path string, lines string, error string"
+_BLOCKS_ARROW = pa.schema([("path", pa.string()), ("lines", pa.string()), ("error", pa.string())])
 _CORRUPT = (EOFError, lzma.LZMAError, zlib.error, OSError, ValueError)
 
 
@@ -112,96 +112,129 @@ def sniff(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _decoded(raw: io.BufferedReader, codec: str):
-    if codec == "zstd":
+class _Zstd:
+    """One frame, in the form of the standard library's decompressors."""
+
+    def __init__(self):
         if zstandard is None:
             raise ReadFailed("zstd files need the 'zstandard' package on every executor")
-        return zstandard.ZstdDecompressor(max_window_size=MAX_ZSTD_WINDOW).stream_reader(raw, read_across_frames=True)
-    opener = {"xz": lzma.open, "bz2": bz2.open, "gz": gzip.open}.get(codec)
-    return opener(raw, "rb") if opener else raw
-
-
-def _blocks(stream) -> Iterator[bytes]:
-    """Fixed-size blocks with every line ending turned into a newline and no byte-order mark."""
-    held, first = b"", True
-    while True:
-        parts, size = [], 0
-        while size < BLOCK_BYTES:
-            piece = stream.read(BLOCK_BYTES - size)
-            if not piece:
+        self._frame = zstandard.ZstdDecompressor(max_window_size=MAX_ZSTD_WINDOW).decompressobj()
+
+    def pieces(self, data: bytes) -> Iterator[bytes]:
+        yield self._frame.decompress(data)
+
+    eof = property(lambda self: self._frame.eof)
+    unused_data = property(lambda self: self._frame.unused_data)
+
+
+class _Gzip:
+    def __init__(self):
+        self._member = zlib.decompressobj(wbits=31)
+
+    def pieces(self, data: bytes) -> Iterator[bytes]:
+        while data:
+            yield self._member.decompress(data, PIECE_BYTES)
+            data = self._member.unconsumed_tail
+
+    eof = property(lambda self: self._member.eof)
+    unused_data = property(lambda self: self._member.unused_data)
+
+
+class _Bounded:
+    """bz2 and xz: a small input may stand for a very long output, so that is taken in steps."""
+
+    def __init__(self, decompressor):
+        self._stream = decompressor()
+
+    def pieces(self, data: bytes) -> Iterator[bytes]:
+        yield self._stream.decompress(data, PIECE_BYTES)
+        while not (self._stream.eof or self._stream.needs_input):
+            yield self._stream.decompress(b"", PIECE_BYTES)
+
+    eof = property(lambda self: self._stream.eof)
+    unused_data = property(lambda self: self._stream.unused_data)
+
+
+DECODERS = {
+    "zstd": _Zstd,
+    "gz": _Gzip,
+    "bz2": lambda: _Bounded(bz2.BZ2Decompressor),
+    "xz": lambda: _Bounded(lzma.LZMADecompressor),
+}
+
+
+def decoded(raw: io.RawIOBase, codec: str) -> Iterator[bytes]:
+    """The decoded bytes of all members, frames or streams a file is made of; a file cut short is an error."""
+    if codec == "plain":
+        while data := raw.read(READ_BYTES):
+            yield data
+        return
+    stream = None
+    while data := raw.read(READ_BYTES):
+        while data:
+            if stream is None:
+                data = data.lstrip(b"\0")  # padding between streams
+                if not data:
+                    break
+                stream = DECODERS[codec]()
+            yield from stream.pieces(data)
+            if not stream.eof:
                 break
-            parts.append(piece)
-            size += len(piece)
-        block = held + b"".join(parts)
-        last = size < BLOCK_BYTES
+            data, stream = stream.unused_data, None
+    if stream is not None:
+        raise EOFError("the file ends before its stream does")
+
+
+def line_blocks(pieces: Iterator[bytes]) -> Iterator[bytes]:
+    """Whole lines in blocks, every line ending turned into a newline, the last one of a block left out.
+
+    A byte-order mark is dropped. When ``pieces`` raises, the lines before the break have been yielded, but not the
+    unfinished one.
+    """
+    held, size, first = [], 0, True
+
+    def normal(text: bytes) -> bytes:
+        return text.replace(b"\r\n", b"\n").replace(b"\r", b"\n") if b"\r" in text else text
+
+    def whole_lines() -> Iterator[bytes]:
+        nonlocal held, size, first
+        text = b"".join(held)
         # a carriage return at the edge may be the first half of a pair
-        held = b"\r" if not last and block.endswith(b"\r") else b""
-        if held:
-            block = block[:-1]
-        if first:
-            block, first = block.removeprefix(codecs.BOM_UTF8), False
-        if b"\r" in block:
-            block = block.replace(b"\r\n", b"\n").replace(b"\r", b"\n")
-        if block:
-            yield block
-        if last:
-            return
-
-
-def owned_text(blocks: Iterator[bytes], slice_no: int, slices: int) -> Iterator[bytes]:
-    """The text of whole lines that start in this slice's blocks, without the last newline."""
-    open_line: list[bytes] = []
-    mid_line = False
-    for number, block in enumerate(blocks):
-        start = 0
-        if mid_line:
-            start = block.find(b"\n") + 1
-            if start == 0:
-                if open_line:
-                    open_line.append(block)
-                continue
-            if open_line:
-                yield b"".join(open_line) + block[: start - 1]
-                open_line = []
-        mid_line = not block.endswith(b"\n")
-        if number % slices == slice_no:
-            end = block.rfind(b"\n")
-            if end >= start:
-                yield block[start:end]
-            if mid_line:
-                open_line = [block[max(end + 1, start) :]]
-    if open_line:
-        yield b"".join(open_line)
-
-
-def _split(text: bytes) -> pa.Array:
+        edge = len(text) - text.endswith(b"\r")
+        cut = max(text.rfind(b"\n", 0, edge), text.rfind(b"\r", 0, edge)) + 1
+        held, size = [text[cut:]], len(text) - cut
+        if cut:
+            lines = text[:cut].removeprefix(codecs.BOM_UTF8) if first else text[:cut]
+            first = False
+            yield normal(lines)[:-1]
+
     try:
-        whole = pa.array([text], pa.binary()).cast(pa.string())
-    except pa.ArrowInvalid:
-        whole = pa.array([text.decode("utf-8", "replace")])
-    return pc.split_pattern(whole, "\n").flatten()
+        for piece in pieces:
+            held.append(piece)
+            size += len(piece)
+            if size >= BLOCK_BYTES and (b"\n" in piece or b"\r" in piece):
+                yield from whole_lines()
+    except Exception:
+        yield from whole_lines()
+        raise
+    rest = b"".join(held)
+    rest = rest.removeprefix(codecs.BOM_UTF8) if first else rest
+    if rest:
+        yield normal(rest).removesuffix(b"\n")
 
 
-def _rows(path: str, values: pa.Array, error: str | None = None) -> pa.RecordBatch:
-    n = len(values)
-    return pa.RecordBatch.from_arrays(
-        [pa.repeat(path, n), values, pa.array([error] * n if error else pa.nulls(n, pa.string()), pa.string())],
-        schema=_LINES_ARROW,
-    )
+def _row(path: str, lines: str | None, error: str | None = None) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([v], pa.string()) for v in (path, lines, error)], schema=_BLOCKS_ARROW)
 
 
-def decode_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows ``(path, codec, slice_no, slices)`` in; lines out, and one error row per broken file."""
+def decode_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows ``(path, codec)`` in; blocks of lines out, and one error row per broken file."""
     corrupt = _CORRUPT + ((zstandard.ZstdError,) if zstandard else ())
     for batch in batches:
-        for task in batch.to_pylist():
+        for path, codec in zip(batch.column("path").to_pylist(), batch.column("codec").to_pylist()):
             try:
-                with _Storage(task["path"]) as raw:
-                    stream = _decoded(io.BufferedReader(raw, 1 << 20), task["codec"])
-                    for text in owned_text(_blocks(stream), task["slice_no"], task["slices"]):
-                        lines = _split(text)
-                        for start in range(0, len(lines), BATCH_LINES):
-                            yield _rows(task["path"], lines.slice(start, BATCH_LINES))
+                with _Storage(path) as raw:
+                    for block in line_blocks(decoded(io.BufferedReader(raw, 1 << 20), codec)):
+                        yield _row(path, block.decode("utf-8", "replace"))
             except corrupt as error:
-                if task["slice_no"] == 0:
-                    yield _rows(task["path"], pa.nulls(1, pa.string()), f"{type(error).__name__}: {error}")
+                yield _row(path, None, f"{type(error).__name__}: {error}")

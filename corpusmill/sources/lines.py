@@ -11,8 +11,7 @@ from corpusmill.functions import paths as P
 from corpusmill.functions.scalars import valid_text
 from corpusmill.sources import decode
 
-# How many tasks may share one stream: decoding is repeated in each, so slow codecs gain less.
-MAX_SLICES = {"zstd": 8, "gz": 4, "xz": 2}
+LINES_SCHEMA = "path string, value string, error string"
 
 
 def sniff_codecs(files: DataFrame) -> DataFrame:
@@ -25,36 +24,31 @@ def sniff_codecs(files: DataFrame) -> DataFrame:
     ).select("f.*")
 
 
-def read_lines(files: DataFrame, slice_bytes: int = 16 << 20) -> DataFrame:
+def stream_tasks(spark: SparkSession, streams: list[tuple[str, str]]) -> DataFrame:
+    """``path, codec`` with every stream in a partition of its own, as no shuffle would place them."""
+    return spark.createDataFrame(spark.sparkContext.parallelize(streams, len(streams)), "path string, codec string")
+
+
+def read_lines(files: DataFrame) -> DataFrame:
     """Lines of all listed files, with ``error`` set on the one row that reports a broken file.
 
-    Plain text and large bz2 files go through Spark's text source, which splits them. The other
-    codecs cannot be split, so they go to a decode job, one task per file. A file larger than
-    ``slice_bytes`` and than a task's fair share (a third of what one core gets) is shared by several.
-    Only file names pass through the driver, as they do for any Spark file scan.
+    Plain text goes through Spark's text source, which splits it. A compressed stream is decoded once, by a task of its
+    own, longest first; its blocks of lines are then spread evenly, so that parsing uses all cores however few streams
+    there are. Only file names pass through the driver, as they do for any Spark file scan.
     """
     spark = files.sparkSession
     found = sniff_codecs(files).collect()
-    # three tasks per core even out their lengths
-    fair_share = sum(f.length for f in found) // max(1, 3 * spark.sparkContext.defaultParallelism)
-    task_bytes = max(slice_bytes, fair_share)
-    splittable, tasks = [], []
-    for f in found:
-        if f.codec == "plain" or (f.codec == "bz2" and f.path.endswith(".bz2") and f.length > slice_bytes):
-            splittable.append(f.path)
-        else:
-            slices = max(1, min(MAX_SLICES.get(f.codec, 1), -(-f.length // task_bytes)))
-            tasks += [(f.path, f.codec, number, slices) for number in range(slices)]
-
+    plain = [f.path for f in found if f.codec == "plain"]
+    streams = [(f.path, f.codec) for f in sorted(found, key=lambda f: -f.length) if f.codec != "plain"]
     parts = []
-    if tasks:
-        plan = spark.createDataFrame(tasks, "path string, codec string, slice_no int, slices int")
-        # one file slice per task; these are the longest tasks, so they come first
-        parts.append(plan.repartition(len(tasks)).mapInArrow(decode.decode_lines, decode.LINES_SCHEMA))
-    if splittable:
-        parts.append(_scan_text(spark, splittable))
+    if streams:
+        blocks = stream_tasks(spark, streams).mapInArrow(decode.decode_blocks, decode.BLOCKS_SCHEMA)
+        lines = F.when(F.col("error").isNull(), F.split("lines", "\n")).otherwise(F.array(F.lit(None).cast("string")))
+        parts.append(blocks.hint("rebalance").select("path", F.explode(lines).alias("value"), "error"))
+    if plain:
+        parts.append(_scan_text(spark, plain))
     if not parts:
-        return spark.createDataFrame([], decode.LINES_SCHEMA)
+        return spark.createDataFrame([], LINES_SCHEMA)
     return reduce(DataFrame.unionByName, parts)
 
 
