@@ -63,15 +63,3 @@ def same_text(left: Column, right: Column) -> Column:
 def valid_text(raw: Column) -> Column:
     """UTF-8 text with each invalid sequence replaced by U+FFFD."""
     return F.make_valid_utf8(raw.cast("string"))
-
-
-@F.pandas_udf(T.StringType())
-def _unescape(texts):
-    import html
-
-    return texts.map(html.unescape, na_action="ignore")
-
-
-def html_unescape(text: Column) -> Column:
-    """Undo HTML entities. Only texts holding an ``&`` travel to Python; the rest stay in the JVM."""
-    return F.coalesce(_unescape(F.when(text.contains("&"), text)), text)
