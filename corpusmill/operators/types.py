@@ -32,38 +32,69 @@ class StoredType:
         return T._parse_datatype_json_string(self.spark)
 
 
-def common_type(types: Iterable[StoredType], fallback: str = "string", numeric_conflict: str = "double") -> T.DataType:
-    """The type that holds all of ``types``; the first rule that applies decides.
+@dataclass(frozen=True)
+class TypeSummary:
+    """What a column's stored types amount to, however many files there are; summaries merge field by field.
+
+    ``families`` counts distinct types per family, null aside; ``widest`` is the largest bit width of whole numbers,
+    ``zones`` holds the smallest and largest time zone, ``first`` and ``last`` the extremes of the types Spark reads.
+    """
+
+    families: frozenset[str]
+    widest: int
+    zones: tuple[str, str]
+    first: str
+    last: str
+
+    @classmethod
+    def of(cls, types: Iterable[StoredType]) -> TypeSummary:
+        seen = [t for t in types if t.family != "null"]
+        spark = [KIND_SEPARATOR.join((t.family, t.detail, t.spark)) for t in seen] or [""]
+        zones = [t.detail for t in seen if t.family == "timestamp"] or [""]
+        widths = [int(t.detail) for t in seen if t.family in WHOLE]
+        return cls(frozenset(t.family for t in seen), max(widths, default=0), (min(zones), max(zones)), min(spark), max(spark))
+
+
+KIND_SEPARATOR = "\x1f"
+WHOLE = frozenset({"int", "uint"})
+NUMERIC = WHOLE | {"float"}
+_SIGNED = {8: T.ByteType(), 16: T.ShortType(), 32: T.IntegerType(), 64: T.LongType()}
+# Unsigned numbers as Spark reads them.
+_UNSIGNED = {8: T.ShortType(), 16: T.IntegerType(), 32: T.LongType(), 64: T.DecimalType(20, 0)}
+
+
+def merged_type(seen: TypeSummary, fallback: str = "string", numeric_conflict: str = "double") -> T.DataType:
+    """The type that holds everything a summary stands for.
 
     ``fallback`` ("string" or "float64") settles disagreements no rule covers. A number beside
     something that is not one gives DOUBLE, or STRING with ``numeric_conflict="string"``.
     """
-    if fallback not in ("string", "float64"):
+    resort = {"string": T.StringType(), "float64": T.DoubleType()}.get(fallback)
+    if resort is None:
         raise ValueError(f"fallback must be 'string' or 'float64', not {fallback!r}")
-    types = {t for t in types if t.family != "null"}
-    families = {t.family for t in types}
-    last_resort = T.StringType() if fallback == "string" else T.DoubleType()
-    if not types:
-        return T.StringType()
-    if len(types) == 1:
-        return next(iter(types)).dtype
-    if families <= {"int", "uint"}:
-        if len(families) == 2:
-            return T.DoubleType()
-        return max(types, key=lambda t: int(t.detail)).dtype
-    if families & {"int", "uint", "float"}:
-        numeric_only = families <= {"int", "uint", "float"}
-        return T.DoubleType() if numeric_only or numeric_conflict == "double" else T.StringType()
-    if families == {"timestamp"}:
-        zones = {t.detail for t in types}
-        if len(zones) > 1:
-            return last_resort
-        return T.TimestampNTZType() if zones == {""} else T.TimestampType()
-    if "string" in families:
-        return T.StringType()
-    if families == {"binary"}:
-        return T.BinaryType()
-    return last_resort
+    if seen.families and seen.first == seen.last:
+        return T._parse_datatype_json_string(seen.first.split(KIND_SEPARATOR)[2])
+    mixed_numbers = T.DoubleType() if seen.families <= NUMERIC or numeric_conflict == "double" else T.StringType()
+    one_zone = seen.zones[0] == seen.zones[1]
+    of_one_family = {
+        "int": _SIGNED.get(seen.widest),
+        "uint": _UNSIGNED.get(seen.widest),
+        "float": T.DoubleType(),
+        "timestamp": (T.TimestampType() if seen.zones[0] else T.TimestampNTZType()) if one_zone else resort,
+        "string": T.StringType(),
+        "binary": T.BinaryType(),
+        "other": resort,
+    }
+    if len(seen.families) == 1:
+        return of_one_family[next(iter(seen.families))]
+    if seen.families & NUMERIC:
+        return mixed_numbers
+    return T.StringType() if not seen.families or "string" in seen.families else resort
+
+
+def common_type(types: Iterable[StoredType], fallback: str = "string", numeric_conflict: str = "double") -> T.DataType:
+    """:func:`merged_type` of types at hand."""
+    return merged_type(TypeSummary.of(types), fallback, numeric_conflict)
 
 
 # ---- casts -------------------------------------------------------------------------------------

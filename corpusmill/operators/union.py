@@ -10,10 +10,11 @@ from pyspark.sql import types as T
 
 from corpusmill.functions import paths as P
 from corpusmill.functions.nested import prune_type
-from corpusmill.operators.types import StoredType, align_to_schema, common_type
+from corpusmill.operators.types import KIND_SEPARATOR, WHOLE, StoredType, TypeSummary, align_to_schema, common_type, merged_type
 from corpusmill.sources.parquet import parquet_footers
 
 ORDERS = ("first_seen", "name")
+FAMILIES = ("int", "uint", "float", "timestamp", "string", "binary", "other")
 
 
 def _columns(footers: DataFrame) -> DataFrame:
@@ -21,14 +22,27 @@ def _columns(footers: DataFrame) -> DataFrame:
 
 
 def _column_types(footers: DataFrame) -> list:
-    """Per column name: where it is first seen, and the distinct types stored. One row per name."""
+    """Per column name: where it is first seen, and what its stored types amount to. One row per name.
+
+    Every measure is a fixed-size aggregate, so the rows shuffled do not grow with the number of files or types.
+    """
+    family, stored = F.col("family"), F.col("family") != "null"
+    width = F.when(family.isin(*WHOLE), F.col("detail").cast("int"))
+    zone = F.when(family == "timestamp", F.col("detail"))
+    kind = F.when(stored, F.concat_ws(KIND_SEPARATOR, "family", "detail", "spark"))
+    no_type = F.col("spark").isNull()
     return (
         _columns(footers)
         .groupBy("name")
         .agg(
             F.min(F.struct("path", "ordinal")).alias("first"),
-            F.collect_set(F.struct("family", "detail", F.coalesce("spark", F.lit("")).alias("spark"))).alias("types"),
-            F.min(F.when(F.col("spark").isNull(), F.col("path"))).alias("unreadable"),
+            *(F.bool_or(family == name).alias(name) for name in FAMILIES),
+            F.max(width).alias("widest"),
+            F.min(zone).alias("zone_from"), F.max(zone).alias("zone_to"),
+            F.min(kind).alias("kind_from"), F.max(kind).alias("kind_to"),
+            # the one form all files that store the column read it in, if there is one
+            F.min("spark").alias("spark_from"), F.max("spark").alias("spark_to"),
+            F.min(F.when(no_type, F.struct("path", "detail"))).alias("unreadable"),
         )
         .collect()
     )
@@ -38,14 +52,20 @@ def _target(rows: list, order: str, fallback: str, numeric_conflict: str) -> T.S
     if order not in ORDERS:
         raise ValueError(f"order must be one of {ORDERS}, not {order!r}")
     fields = []
-    for row in sorted(rows, key=(lambda r: r.first) if order == "first_seen" else (lambda r: r.name)):
-        if row.unreadable is not None:
-            kinds = ", ".join(sorted(t.detail for t in row.types if not t.spark))
-            raise TypeError(f"column {row.name!r} in {row.unreadable} has a type Spark cannot read: {kinds}")
-        types = [StoredType(t.family, t.detail, t.spark) for t in row.types]
+    for row in sorted(rows, key=(lambda r: r["first"]) if order == "first_seen" else (lambda r: r["name"])):
+        if row["unreadable"] is not None:
+            path, kind = row["unreadable"]
+            raise TypeError(f"column {row['name']!r} in {path} has a type Spark cannot read: {kind}")
+        seen = TypeSummary(
+            frozenset(name for name in FAMILIES if row[name]),
+            row["widest"] or 0,
+            (row["zone_from"] or "", row["zone_to"] or ""),
+            row["kind_from"] or "",
+            row["kind_to"] or "",
+        )
         # what no file gives a storable type stays as a column without values
-        dtype = prune_type(common_type(types, fallback, numeric_conflict)) or T.StringType()
-        fields.append(T.StructField(row.name, dtype, True))
+        dtype = prune_type(merged_type(seen, fallback, numeric_conflict)) or T.StringType()
+        fields.append(T.StructField(row["name"], dtype, True))
     return T.StructType(fields)
 
 
@@ -98,9 +118,8 @@ def _scan_groups(footers: DataFrame, order: str, fallback: str, numeric_conflict
     stored type of every other name."""
     rows = _column_types(footers)
     target = _target(rows, order, fallback, numeric_conflict)
-    stored_as = {r.name: {t.spark for t in r.types} for r in rows}
-    disputed = sorted(name for name, types in stored_as.items() if len(types) > 1)
-    settled = {name: next(iter(types)) for name, types in stored_as.items() if len(types) == 1}
+    disputed = sorted(r["name"] for r in rows if r["spark_from"] != r["spark_to"])
+    settled = {r["name"]: r["spark_from"] for r in rows if r["spark_from"] == r["spark_to"]}
     stored = F.expr("map_from_entries(transform(columns, c -> struct(c.name, c.spark)))")
     signature = F.array(*(stored[name] for name in disputed)) if disputed else F.array().cast("array<string>")
     # file names only, as many as a scan of these files has to list anyway

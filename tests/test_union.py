@@ -3,6 +3,7 @@ import datetime as dt
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from corpusmill.operators.union import union_files, union_schema
 from corpusmill.plans.merge import merge_folder
@@ -136,3 +137,19 @@ def test_merge_folder(spark, merge_in, tmp_path):
     assert merge_folder(spark, str(merge_in), out, pattern="f[!13].parquet").files == 2
     with pytest.raises(ValueError, match="brotli"):
         merge_folder(spark, str(merge_in), out, compression="brotli")
+
+
+def test_many_small_files_are_one_scan(spark, tmp_path):
+    for n in range(500):
+        pq.write_table(pa.table({"a": pa.array([n], pa.int64()), "b": pa.array([str(n)])}), tmp_path / f"f{n}.parquet")
+    merged = union_files(list_files(spark, str(tmp_path)))
+    assert merged._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 1
+    assert merged.agg(F.sum("a"), F.count("b")).first() == (500 * 499 // 2, 500)
+
+
+def test_hidden_parquet_is_refused(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for name in ("a.parquet", "_b.parquet"):
+        pq.write_table(pa.table({"a": [1]}), tmp_path / "in" / name)
+    with pytest.raises(ValueError, match="_b.parquet"):
+        merge_folder(spark, str(tmp_path / "in"), str(tmp_path / "out"))
