@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.functions import paths as P
 from corpusmill.functions.scalars import human_bytes, iso_seconds
-from corpusmill.operators.profile import shape
 from corpusmill.sources.files import list_dataset
 from corpusmill.sources.parquet import parquet_footers, read_parquet
 
 
+# The names of the figures.
 def file_stats(files: DataFrame) -> DataFrame:
     """One row: count, total, smallest, middle (upper), mean and largest size, and change times.
 
@@ -81,20 +83,30 @@ def most_row_groups(footers: DataFrame, root: str, n: int = 10) -> DataFrame:
 
 
 def corpus_meta(spark: SparkSession, path: str) -> DataFrame:
-    """One row: the dataset's path, shape, file statistics and files per extension."""
-    files = list_dataset(spark, path)
-    by_extension = extension_counts(files).agg(
-        F.to_json(F.map_from_entries(F.collect_list(F.struct("ext", "files")))).alias("ext_counts")
-    )
+    """One row: the dataset's path, shape, file statistics and files per extension.
+
+    Files are listed once; row counts come from footers, no data is read.
+    """
     here = P.local_path_part(path)
-    place = files.agg(
-        F.lit(here).alias("path"), (F.coalesce(F.min(P.path_part(F.col("path"))), F.lit("")) != here).alias("is_directory")
-    )
-    one_row_each = [place, shape(read_parquet(spark, path)), file_stats(files), by_extension]
-    meta = one_row_each[0].withColumn("__one", F.lit(1))
-    for part in one_row_each[1:]:
-        meta = meta.join(part.withColumn("__one", F.lit(1)), "__one")
-    return meta.drop("__one")
+    columns = len(read_parquet(spark, path).columns)
+    files = list_dataset(spark, path).persist()
+    try:
+        by_extension = {r["ext"]: r["files"] for r in extension_counts(files).collect()}  # a row per file ending
+        rows = row_group_totals(parquet_footers(files)).first()["total_rows"]
+        first = files.agg(F.min(P.path_part(F.col("path")))).first()[0]
+        stats = file_stats(files).first()
+    finally:
+        files.unpersist()
+    facts = {
+        "path": here,
+        "is_directory": (first or "") != here,
+        "rows": rows,
+        "cols": columns,
+        **stats.asDict(),
+        "ext_counts": json.dumps(by_extension, sort_keys=True, separators=(",", ":")),
+    }
+    kinds = {bool: "boolean", int: "bigint", str: "string", type(None): "string"}
+    return spark.createDataFrame([tuple(facts.values())], ", ".join(f"{k} {kinds[type(v)]}" for k, v in facts.items()))
 
 
 def dataset_footers(spark: SparkSession, path: str) -> DataFrame:

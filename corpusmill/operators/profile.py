@@ -2,22 +2,23 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusmill.functions import paths as P
 from corpusmill.functions.nested import column_of, is_nested, json_text
 from corpusmill.functions.scalars import is_missing, percent, present
+from corpusmill.sources.files import list_dataset
+from corpusmill.sources.parquet import parquet_footers
 
 
 def _field(df: DataFrame, name: str) -> T.StructField:
     for f in df.schema.fields:
         if f.name == name:
             return f
-    raise ValueError(f"column not found: {name}")
+    raise ValueError(f"the view has no column {name!r}, only {df.columns}")
 
 
 def _missing(f: T.StructField) -> Column:
@@ -131,63 +132,82 @@ def _has_map(dtype: T.DataType) -> bool:
 # ---- first, last and sampled rows --------------------------------------------------------------
 
 
-# Up to this many rows are looked up by their place in the files; more are sorted out in one scan.
-LOOKUP_ROWS = 1_000
-
-
 def _file_order() -> list[Column]:
     return [F.col("_metadata.file_path"), F.col("_metadata.row_index")]
 
 
-def _order_columns(order_by: list[str] | None) -> list[Column]:
-    return [column_of(name) for name in order_by] if order_by else _file_order()
+def _order_columns(df: DataFrame, names: list[str] | None, argument: str) -> list[Column]:
+    """The named columns, or the places of a Parquet scan's rows; an error names the argument that is needed."""
+    if names:
+        return [column_of(name) for name in names]
+    try:
+        df.select(*_file_order()).schema
+    except AnalysisException:
+        raise ValueError(f"rows that do not come straight from Parquet files have no order of their own: give {argument}") from None
+    return _file_order()
 
 
-def _near(df: DataFrame, order: list[Column], n: int, last: bool = False) -> DataFrame:
-    """A small part of ``df`` that holds its first (or last) ``n`` rows by ``order``.
+def head(df: DataFrame, n: int = 5, order_by: list[str] | None = None) -> DataFrame:
+    """The first ``n`` rows by ``order_by``, or in file order for a view of Parquet files. One lazy top-n for every n.
 
-    The rows' places are found first, from a scan that reads no column the order and the view do
-    not need; then only the files they lie in are read in full.
+    For the first rows of a whole dataset :func:`dataset_head` reads only the files that hold them.
     """
-    path, row = _file_order()
-    places = df.select(path.alias("path"), row.alias("row"), *(o.alias(f"o{i}") for i, o in enumerate(order)))
-    keys = [F.desc(f"o{i}") if last else F.asc(f"o{i}") for i in range(len(order))]
-    found = places.orderBy(*keys).limit(n).select("path", "row").collect()
-    return df.filter(path.isin(sorted({p.path for p in found})) & row.isin(sorted({p.row for p in found})))
-
-
-def head(df: DataFrame, n: int = 5, order_by: list[str] | None = None) -> DataFrame:
-    """The first ``n`` rows by ``order_by``, or in file order for a DataFrame read from Parquet."""
-    order = _order_columns(order_by)
-    if not order_by and 0 < _check_n(n) <= LOOKUP_ROWS:
-        df = _near(df, order, n)
-    return df.orderBy(*order).limit(_check_n(n))
+    return df.orderBy(*_order_columns(df, order_by, "order_by")).limit(_check_n(n))
 
 
 def tail(df: DataFrame, n: int = 5, order_by: list[str] | None = None) -> DataFrame:
     """The last ``n`` rows, first to last."""
-    order = _order_columns(order_by)
-    if not order_by and 0 < _check_n(n) <= LOOKUP_ROWS:
-        df = _near(df, order, n, last=True)
+    order = _order_columns(df, order_by, "order_by")
     keys = {f"__key{i}": c for i, c in enumerate(order)}
     last = df.withColumns(keys).orderBy(*(F.desc(k) for k in keys)).limit(_check_n(n))
     return last.orderBy(*keys).drop(*keys)
 
 
+def _dataset_slice(spark: SparkSession, path: str, n: int, last: bool) -> DataFrame:
+    """The rows of the first (or last) ``n`` places of a Parquet dataset in file order.
+
+    Footers tell how many rows each file holds; only the files that hold the wanted places are read, and of these only
+    the wanted places are kept.
+    """
+    order = Window.orderBy(F.desc("path") if last else F.asc("path"))
+    files = parquet_footers(list_dataset(spark, path)).where(F.col("error").isNull()).select("path", "num_rows")
+    before = F.coalesce(F.sum("num_rows").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    wanted = files.withColumn("before", before).where(F.col("before") < n).orderBy(*([F.desc("path")] if last else ["path"])).collect()
+    if not wanted:
+        return spark.read.parquet(path).limit(0)
+    reader = spark.read.schema(spark.read.parquet(path).schema)
+    if P.local_path_part(wanted[0]["path"]) != P.local_path_part(path):
+        reader = reader.option("basePath", path)
+    rows = reader.parquet(*[P.escape_glob(f["path"]) for f in wanted])
+    edge = wanted[-1]
+    share = min(n - edge["before"], edge["num_rows"])
+    at_edge = P.scanned_path() == edge["path"]
+    inside = F.col("_metadata.row_index") >= edge["num_rows"] - share if last else F.col("_metadata.row_index") < share
+    return rows.where(~at_edge | inside)
+
+
+def dataset_head(spark: SparkSession, path: str, n: int = 5) -> DataFrame:
+    """The first ``n`` rows of a Parquet dataset in file order."""
+    return head(_dataset_slice(spark, path, _check_n(n), last=False), n)
+
+
+def dataset_tail(spark: SparkSession, path: str, n: int = 5) -> DataFrame:
+    """The last ``n`` rows of a Parquet dataset in file order, first to last."""
+    return head(_dataset_slice(spark, path, _check_n(n), last=True), n)
+
+
 def _draw(df: DataFrame, key: list[str] | None, seed: int, *salt: Column) -> Column:
-    """A reproducible random number per row, whatever the partitioning."""
-    return F.xxhash64(*_order_columns(key), *salt, F.lit(seed).cast("bigint"))
+    """Reproducible random text per row, whatever the partitioning: a digest any engine can take."""
+    parts = [c.cast("string") for c in (*_order_columns(df, key, "key"), *salt, F.lit(seed))]
+    return F.md5(F.concat_ws("|", *parts))
 
 
 def sample_rows(df: DataFrame, n: int = 5, seed: int = 0, key: list[str] | None = None) -> DataFrame:
-    """``n`` rows (at least one, at most all) without replacement.
+    """``n`` rows (at least one, at most all) without replacement: a lazy top-n by a seeded hash.
 
     ``key`` names columns that tell rows apart; a row's place in its Parquet file is the default.
     """
-    n, draw = max(1, n), _draw(df, key, seed)
-    if not key and n <= LOOKUP_ROWS:
-        df = _near(df, [draw], n)
-    return df.orderBy(draw).limit(n)
+    return df.orderBy(_draw(df, key, seed)).limit(max(1, n))
 
 
 def sample_column(df: DataFrame, column: str, n: int = 5, seed: int = 0, key: list[str] | None = None) -> DataFrame:
@@ -198,28 +218,23 @@ def sample_column(df: DataFrame, column: str, n: int = 5, seed: int = 0, key: li
 
 
 def sample_all_columns(df: DataFrame, n: int = 1, seed: int = 0, key: list[str] | None = None) -> DataFrame:
-    """Up to ``n`` values of every column as text, ``(column, value)``; NULL where a column has none."""
+    """Up to ``n`` values of every column as text, ``(column, value)``; NULL where a column has none.
+
+    One scan serves all columns: each row gives one entry per column, and a top-n per column keeps n of them in every
+    task before anything is shuffled.
+    """
+    _check_n(n)
     fields = df.schema.fields
-    if _check_n(n) == 1:
-        picked = _per_column(
-            df,
-            [
-                (
-                    "value",
-                    lambda f: F.min_by(
-                        _value_text(f), F.when(~_missing(f), _draw(df, key, seed, F.lit(f.name)))
-                    ),
-                )
-            ],
+    entries = [
+        F.struct(
+            F.lit(f.name).alias("column"),
+            _value_text(f).alias("value"),
+            F.when(~_missing(f), _draw(df, key, seed, F.lit(f.name))).alias("draw"),
         )
-        return picked.select("column", "value")
-    # one top-n per column: each reads its own column only and keeps n rows per task
-    parts = [
-        df.filter(~_missing(f))
-        .select(F.lit(f.name).alias("column"), _value_text(f).alias("value"), _draw(df, key, seed, F.lit(f.name)).alias("draw"))
-        .orderBy("draw")
-        .limit(n)
         for f in fields
     ]
+    drawn = df.select(F.inline(F.array(*entries))).where(F.col("draw").isNotNull())
+    place = F.row_number().over(Window.partitionBy("column").orderBy("draw"))
+    kept = drawn.withColumn("__place", place).where(F.col("__place") <= n)
     names = df.sparkSession.createDataFrame([(f.name,) for f in fields], "column string")
-    return names.join(reduce(DataFrame.unionByName, parts), "column", "left").select("column", "value")
+    return names.join(kept, "column", "left").select("column", "value")

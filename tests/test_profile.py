@@ -47,7 +47,7 @@ def test_min_max(view):
     assert tuple(R.min_max(view, "x").first()) == ("x", -2.0, 5.0)
     assert tuple(R.min_max(view, "n").first()) == ("n", None, None)
     assert tuple(R.min_max(view, "g").first()) == ("g", "a", "c")
-    with pytest.raises(ValueError, match="column not found: zz"):
+    with pytest.raises(ValueError, match="no column 'zz'"):
         R.min_max(view, "zz")
 
 
@@ -105,6 +105,22 @@ def test_samples(spark, view):
     assert len(set(draws[0])) == 20
 
 
+def test_rows_without_an_order(view):
+    for ask in (R.head, R.tail, R.sample_rows):
+        with pytest.raises(ValueError, match="give (order_by|key)"):
+            ask(view.join(view.select("id"), "id"))
+
+
+def test_ends_of_a_dataset(spark, tmp_path):
+    path = str(tmp_path / "d")
+    spark.range(100).repartitionByRange(7, "id").write.parquet(path)
+    whole = [r.id for r in R.head(spark.read.parquet(path), 100).collect()]
+    for n in (0, 1, 14, 50, 100, 200):
+        assert [r.id for r in R.dataset_head(spark, path, n).collect()] == whole[:n]
+        assert [r.id for r in R.dataset_tail(spark, path, n).collect()] == (whole[-n:] if n else [])
+    assert len(R.dataset_head(spark, path, 3).inputFiles()) == 1
+
+
 @pytest.mark.parametrize("n", [1, 2, 50])
 def test_sample_of_all_columns(view, n):
     rows = R.sample_all_columns(view, n, seed=1, key=["id"]).collect()
@@ -128,7 +144,7 @@ def test_profiles_scan_once(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.range(10).select("id", F.rand().alias("x"), F.lit("t").alias("t")).write.parquet(path)
     df = spark.read.parquet(path)
-    for plan in (R.column_profile(df), R.null_fractions(df), R.sample_all_columns(df, 1, key=["id"])):
+    for plan in (R.column_profile(df), R.null_fractions(df), R.sample_all_columns(df, 1, key=["id"]), R.sample_all_columns(df, 5, key=["id"])):
         assert plan._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 1
     text = R.min_max(df, "x")._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<x:double>" in text
@@ -148,7 +164,9 @@ def test_human_bytes(spark, size, text):
 def test_html_unescape(spark):
     import html
 
-    texts = ["a &amp;amp; b", "&#x41;&#66;&notin;", "no entity", None, "&", "&unknown; &lt", ""]
+    from corpusmill.functions.entities import html_unescape
+
+    texts = ["a &amp;amp; b", "&#x41;&#66;&notin;", "no entity", None, "&", "&unknown; &lt", "", "&notit; &#0; &#128; &#x110000; &#xD800; &#13;", "&&amp;#38;&#;&;", "&ngE; &#xfdd0;x"]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
-    got = [r[0] for r in df.orderBy("i").select(S.html_unescape(F.col("t"))).collect()]
+    got = [r[0] for r in df.orderBy("i").select(html_unescape(F.col("t"))).collect()]
     assert got == [t if t is None else html.unescape(t) for t in texts]
