@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusmill.functions import paths as P
+from corpusmill.functions.entities import html_unescape
 from corpusmill.functions.nested import clean, column_of, prune_type
-from corpusmill.functions.scalars import html_unescape, is_blank, same_text
+from corpusmill.functions.scalars import is_blank, same_text
 from corpusmill.operators.types import tolerant_cast
 
 # Field names the records are known to use.
@@ -24,6 +26,9 @@ BAD, OTHER, MATCH, BROKEN = "bad", "other", "match", "broken"
 # Plain JSON, with texts and numbers of any practical length.
 JSON_OPTIONS = {"allowSingleQuotes": "false", "maxStringLen": str(2**31 - 1), "maxNumLen": "4300"}
 
+# Objects keyed by data, read without a field per key.
+MAP_TYPE = T.MapType(T.StringType(), T.StringType(), True)
+
 _END = "~end-of-line~"
 
 
@@ -135,22 +140,40 @@ def _spark_type(dtype: T.DataType) -> T.DataType:
     return dtype
 
 
-def record_schema(records: DataFrame, column: str = "record") -> T.StructType:
+def record_schema(
+    records: DataFrame, column: str = "record", map_fields: Iterable[str] = (), json_fields: Iterable[str] = ()
+) -> T.StructType:
     """One schema that holds all records: the union of their fields, conflicts widened.
 
     A distributed aggregation; fields without a value in any record are left out. Where some time
     value is no number, the schema also gets a text column for it.
     """
-    return inferred_fields(records, column)[0]
+    return inferred_fields(records, column, map_fields, json_fields)[0]
 
 
-def inferred_fields(records: DataFrame, column: str = "record") -> tuple[T.StructType, list[str]]:
-    """:func:`record_schema`, and the names of the fields it leaves out."""
-    record = F.col(column)
+def _without(record: Column, names: Iterable[str]) -> Column:
+    """The record's fields but for some, so that inference does not see them."""
+    names = list(names)
+    if not names:
+        return record
+    fields = F.try_variant_get(record, "$", "map<string,variant>")
+    return F.to_variant_object(F.map_filter(fields, lambda name, _: ~name.isin(names)))
+
+
+def inferred_fields(
+    records: DataFrame, column: str = "record", map_fields: Iterable[str] = (), json_fields: Iterable[str] = ()
+) -> tuple[T.StructType, list[str]]:
+    """:func:`record_schema`, and the names of the fields it leaves out.
+
+    Objects whose keys are data, such as a table of ids, would give the schema a field per key: named in
+    ``map_fields`` they become MAPs of JSON text, in ``json_fields`` JSON text.
+    """
+    record, keyed = F.col(column), {**dict.fromkeys(map_fields, MAP_TYPE), **dict.fromkeys(json_fields, T.StringType())}
     odd_times = [F.bool_or(_raw_time(record, name).isNotNull()) for name in TIME_FIELDS]
-    found, *odd = records.agg(F.schema_of_variant_agg(column), *odd_times).first()
+    inferred = F.schema_of_variant_agg(_without(record, keyed))
+    found, *odd = records.agg(inferred, *odd_times).first()
     if not found or not found.startswith("OBJECT<"):
-        return T.StructType([]), []
+        return T.StructType([T.StructField(name, dtype, True) for name, dtype in sorted(keyed.items())] if found else []), []
     # the function spells structs OBJECT; names are back-quoted wherever they need it
     ddl = re.sub(r"`(?:[^`]|``)*`|\bOBJECT<", lambda m: "STRUCT<" if m[0] == "OBJECT<" else m[0], found)
     seen = T.DataType.fromDDL(ddl)
@@ -158,7 +181,10 @@ def inferred_fields(records: DataFrame, column: str = "record") -> tuple[T.Struc
     raw = {raw_name(name): needed for name, needed in zip(TIME_FIELDS, odd)}
     fields = [T.StructField(f.name, _spark_type(f.dataType), True) for f in kept.fields if not raw.get(f.name)]
     fields += [T.StructField(name, T.StringType(), True) for name, needed in raw.items() if needed]
-    return T.StructType(fields), [name for name in seen.names if name not in set(kept.names)]
+    fields += [T.StructField(name, dtype, True) for name, dtype in keyed.items()]
+    return T.StructType(sorted(fields, key=lambda f: f.name) if keyed else fields), [
+        name for name in seen.names if name not in set(kept.names)
+    ]
 
 
 def raw_name(field: str) -> str:
@@ -188,7 +214,10 @@ def typed_records(records: DataFrame, schema: T.StructType, column: str = "recor
         [
             f
             for f in schema.fields
-            if f.name not in TIME_FIELDS and f.name not in raw_fields and f.name not in (DROPPED_FIELD, "_source_path")
+            if f.name not in TIME_FIELDS
+            and f.name not in raw_fields
+            and f.name not in (DROPPED_FIELD, "_source_path")
+            and not isinstance(f.dataType, T.MapType)
         ]
     )
     # one pass over the record's fields for all columns
@@ -201,6 +230,8 @@ def typed_records(records: DataFrame, schema: T.StructType, column: str = "recor
             out.append(_time(F.col("__record"), f.name).alias(f.name))
         elif f.name in raw_fields:
             out.append(_raw_time(F.col("__record"), raw_fields[f.name]).alias(f.name))
+        elif isinstance(f.dataType, T.MapType):
+            out.append(F.try_variant_get("__record", field_path(f.name), type_text(f.dataType)).alias(f.name))
         elif f in plain.fields:
             out.append(_normal(F.col("__fields").getField(f.name), f).alias(f.name))
     return with_provenance(records.select(wide).select(*out, "_source_path"))
@@ -213,6 +244,8 @@ def type_text(dtype: T.DataType) -> str:
         return "STRUCT<" + ", ".join(parts) + ">"
     if isinstance(dtype, T.ArrayType):
         return f"ARRAY<{type_text(dtype.elementType)}>"
+    if isinstance(dtype, T.MapType):
+        return f"MAP<STRING, {type_text(dtype.valueType)}>"
     return dtype.simpleString()
 
 

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions import paths as P
 from corpusmill.operators.union import union_files
+from corpusmill.plans.build import refuse_below
 from corpusmill.session import prepare
 from corpusmill.sinks.write import parquet_codec, write_parquet
-from corpusmill.sources.files import list_files
+from corpusmill.sources.files import list_files, refuse_hidden
 
 
 @dataclass(frozen=True)
@@ -35,14 +36,13 @@ def merge_folder(
 ) -> MergeResult:
     """Write the union of the Parquet files below ``folder`` to ``out``.
 
-    ``pattern`` is matched against paths relative to ``folder``. Only files whose names end in
+    Files that Spark cannot see for their names are refused, not left out. ``pattern`` is matched against paths relative to ``folder``. Only files whose names end in
     ``.parquet``, in any case, count, whatever else it admits.
     """
     prepare(spark)
     parquet_codec(compression)
-    source, target = P.local_path_part(folder), P.local_path_part(out)
-    if target == source or target.startswith(source.rstrip("/") + "/"):
-        raise ValueError(f"{out} lies inside {folder}: a second run would read its own output")
+    refuse_below(out, folder)
+    refuse_hidden(spark, folder, [".parquet"])
     below = P.relative_path(F.col("path"), folder)
     files = (
         list_files(spark, folder)

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from corpusmill.functions.nested import column_of, drop_empty_types, is_nested, json_text
 from corpusmill.functions.scalars import valid_text
+from corpusmill.operators.profile import head
 
 # Codec names callers may use, and what Spark calls them.
 PARQUET_CODECS = {"zstd": "zstd", "snappy": "snappy", "gzip": "gzip", "lz4": "lz4_raw", "none": "uncompressed"}
@@ -54,8 +55,15 @@ def spread_for_write(df: DataFrame, *columns: str) -> DataFrame:
     return df.hint("rebalance", *columns)
 
 
-def write_csv(df: DataFrame, path: str, n: int | None = None, mode: str = "overwrite") -> None:
-    """CSV with a header, quotes doubled, missing values empty; nested columns as JSON text."""
+def write_csv(
+    df: DataFrame, path: str, n: int | None = None, mode: str = "overwrite", order_by: list[str] | None = None
+) -> None:
+    """CSV with a header, quotes doubled, missing values empty; nested columns as JSON text.
+
+    ``n`` writes the first ``n`` rows, by ``order_by`` or in file order for a view of Parquet files.
+    """
+    if n is not None:
+        df = head(df, n, order_by)
     columns = []
     for f in df.schema.fields:
         value = column_of(f.name)
@@ -71,8 +79,6 @@ def write_csv(df: DataFrame, path: str, n: int | None = None, mode: str = "overw
             value = value.cast("string")
         columns.append(value.alias(f.name))
     text = df.select(columns)
-    if n is not None:
-        text = text.limit(n)
     (
         text.write.mode(mode)
         .option("header", True)
@@ -86,5 +92,5 @@ def write_csv(df: DataFrame, path: str, n: int | None = None, mode: str = "overw
 
 
 def write_report(report: DataFrame, path: str) -> None:
-    """JSON lines in one file, replaced at each run: a row per input file and a few for the run."""
-    report.coalesce(1).write.mode("overwrite").json(path)
+    """JSON lines, replaced at each run: a row per input file and a few for the run."""
+    report.write.mode("overwrite").json(path)

@@ -1,7 +1,7 @@
 """Listing input files as a DataFrame.
 
-The listing is Spark's own (parallel, any file system). Names starting with ``_`` or ``.``
-are hidden, as everywhere in Spark.
+The listing is Spark's own (parallel, any file system). Names starting with ``_`` or ``.`` are hidden from Spark's
+readers; jobs that would miss data for that reason refuse to run and name the files (:func:`refuse_hidden`).
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from corpusmill.functions import paths as P
 
 # Fixed value: the file endings that count as record dumps.
+DUMP_ENDINGS = (".zst", ".zstd", ".xz", ".bz2", ".gz", ".json", ".jsonl")
 DUMP_GLOB = "*.{zst,zstd,xz,bz2,gz,json,jsonl}"
 PARQUET_GLOB = "*.{parquet,parq}"
 
@@ -42,16 +43,66 @@ def list_files(
         "length",
         "modified",
     )
+    return without(files, ignore)
+
+
+def without(files: DataFrame, ignore: Iterable[str]) -> DataFrame:
+    """A listing without the files whose exact name is on the ignore list."""
     ignored = sorted(set(ignore))
     return files.filter(~F.col("name").isin(ignored)) if ignored else files
 
 
+class HiddenFiles(ValueError):
+    """Files that look like input but that Spark's readers cannot see."""
+
+
+def hidden_files(spark: SparkSession, root: str, endings: Iterable[str], recursive: bool = True) -> list[str]:
+    """Paths below ``root`` that end like input and whose own name, or that of a folder above, hides them from Spark.
+
+    Only hidden names reach the driver. Names such as ``_kind=x`` are partition folders, not hidden.
+    """
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path
+    top = hadoop_path(P.escape_glob(root))
+    fs = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    endings, found, level = tuple(endings), [], P.escape_glob(root).rstrip("/")
+
+    def look(status) -> None:
+        path = status.getPath()
+        if status.isFile():
+            if path.getName().lower().endswith(endings):
+                found.append(path.toString())
+        elif recursive and "=" not in path.getName():
+            for child in fs.listStatus(path):
+                look(child)
+
+    while True:
+        for status in fs.globStatus(hadoop_path(f"{level}/[_.]*")) or []:
+            look(status)
+        below = fs.globStatus(hadoop_path(f"{level}/[!.]*/*")) if recursive else None
+        if not below:
+            return sorted(found)
+        level += "/[!.]*"
+
+
+def refuse_hidden(spark: SparkSession, root: str, endings: Iterable[str], recursive: bool = True) -> None:
+    found = hidden_files(spark, root, endings, recursive)
+    if found:
+        raise HiddenFiles(
+            f"{len(found)} files below {root} have names that Spark takes as hidden; rename them: {', '.join(found[:10])}"
+        )
+
+
 def list_dumps(spark: SparkSession, root: str, recursive: bool = False, ignore: Iterable[str] = ()) -> DataFrame:
     """Record dumps below ``root`` with the kind and month their names carry."""
     files = list_files(spark, root, DUMP_GLOB, recursive, ignore)
     return files.withColumns({"kind": P.dump_kind(F.col("name")), "month": P.dump_month(F.col("name"))})
 
 
+def ordered(files: DataFrame) -> DataFrame:
+    """A listing in the order in which jobs take files: by name, then path."""
+    return files.orderBy(P.base_name(F.col("path")), "path")
+
+
 def list_dataset(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
     """All visible files of a stored dataset (or the one file given)."""
     return list_files(spark, root, glob, recursive=True)

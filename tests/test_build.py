@@ -2,6 +2,7 @@ import gzip
 import json
 import lzma
 import os
+import zlib
 from types import SimpleNamespace
 
 import pytest
@@ -16,6 +17,11 @@ def record(n, topic="Swim", **more):
     return json.dumps({"subreddit": topic, "id": n, "created_utc": str(n), **more})
 
 
+CUT = gzip.compress("\n".join(record(n, "other", noise=str(hash(n * 7919))) for n in range(1000, 1400)).encode())[:4000]
+# the lines that end before the cut
+KEPT = zlib.decompressobj(31).decompress(CUT).count(b"\n")
+
+
 @pytest.fixture
 def dumps(tmp_path):
     folder = tmp_path / "in"
@@ -27,7 +33,7 @@ def dumps(tmp_path):
     (folder / "RC_2025-02.jsonl").write_text("\r\n".join(record(n, seven=n % 7) for n in range(100, 200)))
     (folder / "deep" / "RS_2025-02.xz").write_bytes(lzma.compress(record(4, title="&amp;", score="high").encode()))
     (folder / "deep" / "none.gz").write_bytes(gzip.compress(record(5, "other").encode() + b"\n"))
-    (folder / "deep" / "cut.gz").write_bytes(gzip.compress(os.urandom(3000))[:900])
+    (folder / "deep" / "cut.gz").write_bytes(CUT)
     (folder / "skip.json").write_text(record(6))
     return folder
 
@@ -36,7 +42,7 @@ def test_build(spark, dumps, tmp_path):
     out = str(tmp_path / "out")
     result = build_topic(spark, str(dumps), out, "swim", ignore=["skip.json"])
     assert (result.files_scanned, result.files_broken) == (5, 1)
-    assert (result.lines_total, result.bad_json, result.matched, result.rows_written) == (106, 1, 103, 103)
+    assert (result.lines_total, result.bad_json, result.matched, result.rows_written) == (106 + KEPT, 1, 103, 103)
     df = spark.read.parquet(out)
     assert df.count() == 103
     assert {tuple(r) for r in df.select("_kind", "_month").distinct().collect()} == {
@@ -53,7 +59,7 @@ def test_build(spark, dumps, tmp_path):
     files = {os.path.basename(r.file): r for r in report if r.event == "file"}
     assert {n: (r.status, r.lines_total, r.matched) for n, r in files.items()} == {
         "RC_2025-01.zst": ("ok", 4, 2), "RC_2025-02.jsonl": ("ok", 100, 100), "RS_2025-02.xz": ("ok", 1, 1),
-        "none.gz": ("no_matches", 1, 0), "cut.gz": ("error", 0, 0),
+        "none.gz": ("no_matches", 1, 0), "cut.gz": ("error", KEPT, 0),
     }
     assert files["cut.gz"].error
     finish = next(r for r in report if r.event == "finish")
@@ -86,6 +92,44 @@ def test_nothing_to_read_or_to_write(spark, dumps, tmp_path):
     assert spark.read.json(str(tmp_path / "out2.report")).first().status == "no_input"
 
 
+def test_output_below_the_input_is_refused(spark, dumps, tmp_path):
+    for paths in ({"out": str(dumps / "out")}, {"out": str(tmp_path / "o"), "report": str(dumps / "deep" / "r")}):
+        with pytest.raises(ValueError, match="lies inside"):
+            build_topic(spark, str(dumps), topic="swim", **paths)
+
+
+def test_hidden_dumps_are_refused(spark, dumps, tmp_path):
+    for name in ("_more.zst", "deep/.one.gz", "deep/_sub/two.json"):
+        (dumps / name).parent.mkdir(exist_ok=True)
+        (dumps / name).write_bytes(b"{}")
+    with pytest.raises(ValueError, match="3 files .*two.json"):
+        build_topic(spark, str(dumps), str(tmp_path / "o"), "swim")
+    with pytest.raises(ValueError, match="1 files .*_more.zst"):
+        build_topic(spark, str(dumps), str(tmp_path / "o"), "swim", recursive=False)
+
+
+def test_a_run_that_fails_leaves_a_report(spark, dumps, tmp_path, monkeypatch):
+    from corpusmill.plans import build
+
+    def broken(*_, **__):
+        raise RuntimeError("disk full")
+
+    monkeypatch.setattr(build, "write_parquet", broken)
+    with pytest.raises(RuntimeError):
+        build_topic(spark, str(dumps), str(tmp_path / "o"), "swim", ignore=["skip.json"])
+    report = spark.read.json(str(tmp_path / "o.report"))
+    last = report.filter("event = 'finish'").first()
+    assert (last.status, last.error) == ("aborted", "RuntimeError: disk full")
+    config = report.filter("event = 'config'").first()
+    assert (config.settings["ignore"], config.settings["files"]) == ("skip.json", "5")
+    assert report.filter("event = 'file'").agg(F.sum("matched")).first()[0] == 103
+
+
+def test_matches_are_staged_apart(spark, dumps, tmp_path):
+    build_topic(spark, str(dumps), str(tmp_path / "o"), "swim", staged=str(tmp_path / "s"), keep_staged=True)
+    assert {p.name for p in (tmp_path / "s").iterdir() if p.is_dir()} == {f"status={s}" for s in ("match", "other", "bad", "broken")}
+
+
 def test_staged_table_can_be_kept(spark, dumps, tmp_path):
     staged = str(tmp_path / "staged")
     build_topic(spark, str(dumps), str(tmp_path / "out"), "swim", staged=staged, keep_staged=True)
