@@ -1,5 +1,20 @@
 """The same results as plain SQL over the given tables, for checking."""
 
+_FILES = """
+        WITH p AS (
+          SELECT '/data/' || lower(o_orderstatus) || '/RC_' || o_orderkey ||
+                 CASE o_orderkey % 5 WHEN 0 THEN '.parquet' WHEN 1 THEN '.PARQ' WHEN 2 THEN '' ELSE '.zst' END AS path,
+                 CASE o_orderkey % 5 WHEN 0 THEN '.parquet' WHEN 1 THEN '.parq' WHEN 2 THEN '' ELSE '.zst' END AS ext,
+                 o_custkey * 1000 + o_orderkey % 1000 AS length, o_orderdate AS modified FROM orders),
+        f AS (SELECT *, split_part(path, '/', 4) AS name FROM p)"""
+
+_HUMAN = """
+               CASE WHEN {0} < 1024 THEN printf('%.2f B', {0}::DOUBLE)
+                    WHEN {0} / 1024.0 < 1024 THEN printf('%.2f KB', {0}::DOUBLE / 1024)
+                    WHEN {0} / 1048576.0 < 1024 THEN printf('%.2f MB', {0}::DOUBLE / 1048576)
+                    WHEN {0} / 1073741824.0 < 1024 THEN printf('%.2f GB', {0}::DOUBLE / 1073741824)
+                    ELSE printf('%.2f TB', {0}::DOUBLE / 1099511627776) END"""
+
 ORACLE = {
     "jsonl_topic_filter": """
         SELECT doc_id, lower(source) AS subreddit, lang, text, n_chars, 'comments' AS _kind, '2025-01' AS _month
@@ -30,7 +45,38 @@ ORACLE = {
                                            ELSE replace(props, ' ', '') END AS mixed
         FROM events""",
     "normalize_records": """
-        SELECT doc_id, lower(source) AS subreddit, n_chars AS created_utc, '<' || lang || '>' AS title FROM documents""",
+        SELECT doc_id, lower(source) AS subreddit, n_chars AS created_utc, '<' || lang || '>' AS title, true AS dropped
+        FROM documents""",
+    "id_keyed_objects": """
+        SELECT event_id, CAST(event_id AS VARCHAR) AS key, CAST(user_id AS VARCHAR) AS "user", replace(props, ' ', '') AS props,
+               CAST(7 AS BIGINT) AS columns FROM events""",
+    "column_types": """
+        SELECT CAST(ordinal_position - 1 AS INTEGER) AS ordinal, column_name AS "column",
+               CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
+                              WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE data_type END AS type
+        FROM information_schema.columns WHERE table_name = 'lineitem'""",
+    "unknown_column": """
+        SELECT count(event_id) AS rows, 'the view has no column ' || chr(39) || 'no_such' || chr(39) AS error FROM events""",
+    "iso_now": "SELECT event_id, true AS iso FROM events",
+    "sample_rows": """
+        SELECT * FROM orders ORDER BY md5(o_orderkey || '|7') LIMIT 50""",
+    "sample_column": """
+        SELECT value FROM events WHERE event_id % 50 <> 0 AND event_id % 7 <> 0 ORDER BY md5(event_id || '|7') LIMIT 50""",
+    "sample_all_columns": """
+        WITH v AS (
+          SELECT event_id, unnest(['event_id', 'event_type', 'value', 'users', 'nothing']) AS "column",
+                 unnest([CAST(event_id AS VARCHAR), nullif(event_type, 'error'),
+                         CASE WHEN event_id % 50 <> 0 AND event_id % 7 <> 0 THEN CAST(value AS VARCHAR) END,
+                         CASE WHEN event_id % 3 = 0 THEN '[' || user_id || ']' END, NULL]) AS value
+          FROM events),
+        r AS (SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY value IS NULL, md5(event_id || '|' || "column" || '|7')) AS place FROM v)
+        SELECT "column", value FROM r WHERE place <= 3 AND (value IS NOT NULL OR ("column" = 'nothing' AND place = 1))""",
+    "sample_one_per_column": """
+        WITH v AS (
+          SELECT n_nationkey, unnest(['n_nationkey', 'n_name', 'n_regionkey']) AS "column",
+                 unnest([CAST(n_nationkey AS VARCHAR), n_name, CAST(n_regionkey AS VARCHAR)]) AS value FROM nation)
+        SELECT "column", value FROM v
+        QUALIFY row_number() OVER (PARTITION BY "column" ORDER BY md5(n_nationkey || '|' || "column" || '|7')) = 1""",
     "html_unescape": """
         SELECT page_id,
                replace(replace(replace(replace(html, '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&amp;', '&') AS html
@@ -123,7 +169,8 @@ ORACLE = {
         SELECT 'value' AS "column", min(value) AS min, max(value) AS max FROM events
         WHERE event_id % 50 <> 0 AND event_id % 7 <> 0""",
     "min_max_all_missing": """
-        SELECT 'nothing' AS "column", CAST(NULL AS VARCHAR) AS min, CAST(NULL AS VARCHAR) AS max""",
+        SELECT 'nothing' AS "column", min(nullif(event_type, lower(event_type))) AS min, max(nullif(event_type, lower(event_type))) AS max
+        FROM events""",
     "value_counts": """
         SELECT nullif(event_type, 'error') AS value, count(*) AS n FROM events GROUP BY 1 ORDER BY n DESC, value LIMIT 20""",
     "value_counts_topk": """
@@ -171,15 +218,58 @@ ORACLE = {
         SELECT turn, count(*) FILTER (turn < 2 OR text = '') AS blank, count(*) AS n FROM conversations GROUP BY turn""",
     "file_inventory": """
         SELECT l_returnflag, l_linestatus, count(*) AS rows FROM lineitem GROUP BY ALL""",
-    "row_groups": "SELECT CAST(0 AS BIGINT) AS files_unreadable, count(*) AS total_rows FROM lineitem",
-    "corpus_meta": "SELECT true AS is_directory, count(*) AS rows, CAST(11 AS BIGINT) AS cols FROM lineitem",
+    "largest_files": _FILES + """
+        SELECT substr(path, 7) AS file, length, """ + _HUMAN.format("length") + """ AS size FROM f ORDER BY length DESC, path LIMIT 10""",
+    "extension_counts": _FILES + """
+        SELECT CASE WHEN ext = '' THEN '[no ext]' ELSE ext END AS ext, count(*) AS files FROM f GROUP BY ALL""",
+    "file_size_stats": _FILES + """,
+        s AS (SELECT count(*) AS file_count, CAST(sum(length) AS BIGINT) AS total_bytes, min(length) AS size_min_bytes,
+                     percentile_disc(0.5) WITHIN GROUP (ORDER BY length DESC) AS size_median_bytes,
+                     CAST(sum(length) // count(*) AS BIGINT) AS size_avg_bytes, max(length) AS size_max_bytes,
+                     strftime(min(modified), '%Y-%m-%dT%H:%M:%S') AS mtime_earliest,
+                     strftime(max(modified), '%Y-%m-%dT%H:%M:%S') AS mtime_latest FROM f)
+        SELECT *, """ + ", ".join(
+        _HUMAN.format(f"{n}_bytes") + f" AS {n}_human" for n in ("total", "size_min", "size_median", "size_avg", "size_max")
+    ) + " FROM s",
+    "ordered_files": _FILES + """
+        SELECT path, CAST(row_number() OVER (ORDER BY name, path) AS INTEGER) AS place
+        FROM f WHERE name NOT IN ('RC_4', 'RC_5.parquet')""",
+    "row_groups": """
+        SELECT CAST(sum(p_size) FILTER (p_size % 9 <> 0) AS BIGINT) AS total_row_groups,
+               count(*) FILTER (p_size % 9 <> 0) AS files_counted, count(*) FILTER (p_size % 9 = 0) AS files_unreadable,
+               CAST(sum(p_partkey * 10) FILTER (p_size % 9 <> 0) AS BIGINT) AS total_rows,
+               CAST(sum(p_partkey * p_size) FILTER (p_size % 9 <> 0) AS BIGINT) AS total_byte_size
+        FROM part""",
+    "most_row_groups": """
+        SELECT p_partkey || '.parquet' AS file, p_size AS num_row_groups, p_partkey * 10 AS num_rows, p_partkey * p_size AS total_byte_size
+        FROM part WHERE p_size % 9 <> 0 ORDER BY p_size DESC, 'file:/data/' || p_partkey || '.parquet' LIMIT 10""",
+    "stored_row_groups": """
+        SELECT CAST(sum(ceil(n / 1000.0)) AS BIGINT) AS total_row_groups, CAST(0 AS BIGINT) AS files_unreadable,
+               CAST(sum(n) AS BIGINT) AS total_rows FROM (SELECT count(*) AS n FROM orders GROUP BY o_orderstatus)""",
+    "corpus_meta": """
+        SELECT true AS is_directory, CAST(sum(n) AS BIGINT) AS rows, CAST(11 AS BIGINT) AS cols,
+               CAST(sum(ceil(n / 50000.0)) AS BIGINT) AS files, CAST(sum(ceil(n / 50000.0)) AS BIGINT) AS file_count
+        FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_returnflag, l_linestatus)""",
+    "csv_first_rows": """
+        SELECT o_orderkey, o_custkey, o_orderpriority, CAST(row_number() OVER (ORDER BY o_orderpriority, o_orderkey) AS INTEGER) AS place
+        FROM orders QUALIFY place <= 70""",
+    "decode_cut_files": """
+        SELECT codec, part, count(*) > 0 AS reported, true AS from_start, CAST(0 AS BIGINT) AS torn
+        FROM orders, (SELECT unnest(['gz', 'bz2', 'xz', 'zst']) AS codec), (SELECT unnest(['all', 'few']) AS part) GROUP BY codec, part""",
+    "union_lattice": """
+        SELECT t.*, CASE WHEN t."column" = 'all_null' THEN 0 ELSE 2 * n END AS n FROM (SELECT count(*) AS n FROM orders), (VALUES
+          ('mixed_sign', 'double', 'double'), ('widest', 'bigint', 'bigint'), ('one_zone', 'timestamp', 'timestamp'),
+          ('two_zones', 'string', 'double'), ('text_and_date', 'string', 'string'), ('all_binary', 'binary', 'binary'),
+          ('all_null', 'string', 'string'), ('no_rule', 'string', 'double')) t("column", type, fallback)""",
     "csv_roundtrip": "SELECT * FROM documents",
     "parquet_roundtrip": """
         SELECT codec, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys, max(o_orderdate) AS latest
         FROM orders, (SELECT unnest(['zstd', 'snappy', 'gzip', 'lz4', 'none']) AS codec) GROUP BY codec""",
     "decode_codecs": """
-        SELECT codec, count(*) AS n, CAST(sum(c_custkey) AS BIGINT) AS keys, round(sum(c_acctbal), 2) AS balance
-        FROM customer, (SELECT unnest(['none', 'gzip', 'bzip2']) AS codec) GROUP BY codec""",
+        SELECT codec, count(*) AS n, CAST(sum(c_custkey) AS BIGINT) AS keys, round(sum(c_acctbal), 2) AS balance,
+               count(*) FILTER (c_custkey % 10 = 0) AS replaced
+        FROM customer, (SELECT unnest(['plain', 'gz', 'bz2', 'xz', 'zst', 'zst_long', 'zst_joined', 'mislabelled']) AS codec)
+        GROUP BY codec""",
     "build_topic_table": """
         SELECT doc_id, lower(source) AS subreddit, lang, text, n_chars FROM documents WHERE lower(source) = 'src3'""",
     "build_topic_aligned": """
@@ -187,7 +277,8 @@ ORACLE = {
         FROM documents WHERE lower(source) = 'src5'""",
     "build_topic_report": """
         WITH m AS (SELECT count(*) AS n, count(*) FILTER (lower(source) = 'src3') AS hits FROM documents)
-        SELECT 'config' AS event, NULL::BIGINT AS lines_total, NULL::BIGINT AS bad_json, NULL::BIGINT AS matched, NULL::BIGINT AS rows_written
-        UNION ALL SELECT 'file', n, 0, hits, NULL FROM m
-        UNION ALL SELECT 'finish', NULL, NULL, NULL, hits FROM m""",
+        SELECT 'config' AS event, 'src3' AS topic, NULL::BIGINT AS file_rows, NULL::BIGINT AS lines_total, NULL::BIGINT AS bad_json,
+               NULL::BIGINT AS matched, NULL::BIGINT AS rows_written
+        UNION ALL SELECT 'file', NULL, hits, n, 0, hits, NULL FROM m
+        UNION ALL SELECT 'finish', NULL, NULL, NULL, NULL, NULL, hits FROM m""",
 }

@@ -4,20 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusmill.functions import nested, paths, scalars
+from corpusmill.functions import entities, nested, paths, scalars
 from corpusmill.operators import corpus, profile, records, union
 from corpusmill.operators.types import align_to_schema
 from corpusmill.plans.build import build_topic, topic_table
 from corpusmill.plans.merge import merge_folder
 from corpusmill.session import prepare, scratch_dir
 from corpusmill.sinks.write import PARQUET_CODECS, write_csv, write_parquet
-from corpusmill.sources.files import list_dataset, list_dumps, list_files
+from corpusmill.sources.files import list_dataset, list_dumps, list_files, ordered, without
 from corpusmill.sources.lines import lines_of, read_lines
 from corpusmill.sources.parquet import parquet_footers, parquet_schema, read_parquet
+from corpusmill.suite.fixtures import ENCODINGS, write_arrow, write_dumps
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -50,9 +52,8 @@ def _document_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 def jsonl_topic_filter(spark, sf_dir):
     docs = _document_json(spark, sf_dir)
     lines = lines_of(docs, F.lit("RC_2025-01.jsonl"), F.col("line"))
-    return topic_table(records.classify_lines(lines, "sRc3")).select(
-        "doc_id", "subreddit", "lang", "text", "n_chars", "_kind", "_month"
-    )
+    schema = T.StructType.fromDDL("doc_id bigint, subreddit string, lang string, text string, n_chars bigint, _kind string, _month string")
+    return topic_table(records.classify_lines(lines, "sRc3"), schema)
 
 
 @query
@@ -86,7 +87,7 @@ def json_field_types(spark, sf_dir):
         .otherwise(F.lit('{"subreddit":"x","subreddit":"7","event_id":'))
     )
     lines = lines_of(events, F.lit("f"), F.concat(topic, F.col("event_id"), F.lit("}")))
-    return topic_table(records.classify_lines(lines, "7")).select("event_id", "subreddit")
+    return topic_table(records.classify_lines(lines, "7"), T.StructType.fromDDL("event_id bigint, subreddit string"))
 
 
 @query
@@ -103,8 +104,26 @@ def created_cast(spark, sf_dir):
     line = F.concat(
         F.lit('{"subreddit":"All","edited":false,"event_id":'), F.col("event_id"), F.lit(',"created_utc":'), value, F.lit("}")
     )
-    return topic_table(records.classify_lines(lines_of(events, F.lit("f"), line), "all")).select(
-        "event_id", "created_utc", "_created_utc_raw"
+    schema = T.StructType.fromDDL("event_id bigint, created_utc bigint, _created_utc_raw string")
+    return topic_table(records.classify_lines(lines_of(events, F.lit("f"), line), "all"), schema)
+
+
+@query
+def id_keyed_objects(spark, sf_dir):
+    """An object whose keys are ids is read as a MAP, so the schema does not grow with the ids."""
+    events = _table(spark, sf_dir, "events")
+    line = F.concat(
+        F.lit('{"subreddit":"All","event_id":'), F.col("event_id"), F.lit(',"users":{"'), F.col("event_id"), F.lit('":'),
+        F.col("user_id"), F.lit('},"props":'), F.col("props"), F.lit("}"),
+    )
+    lines = records.classify_lines(lines_of(events, F.lit("f"), line), "all")
+    table = topic_table(lines, map_fields=["users"], json_fields=["props"])
+    return table.select(
+        "event_id",
+        F.map_keys("users")[0].alias("key"),
+        F.map_values("users")[0].alias("user"),
+        F.replace("props", F.lit(" "), F.lit("")).alias("props"),
+        F.lit(len(table.columns)).cast("bigint").alias("columns"),
     )
 
 
@@ -135,12 +154,13 @@ def normalize_records(spark, sf_dir):
         F.lit(True).alias("edited"),
         F.concat(F.lit("&lt;"), F.col("lang"), F.lit("&gt;")).alias("title"),
     )
-    return records.normalize(docs).select("doc_id", "subreddit", "created_utc", "title")
+    normal = records.normalize(docs)
+    return normal.drop("_created_utc_raw").withColumn("dropped", F.lit("edited" not in normal.columns))
 
 
 @query
 def html_unescape(spark, sf_dir):
-    return _table(spark, sf_dir, "pages").select("page_id", scalars.html_unescape(F.col("html")).alias("html"))
+    return _table(spark, sf_dir, "pages").select("page_id", entities.html_unescape(F.col("html")).alias("html"))
 
 
 def _dump_names(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -356,7 +376,26 @@ def min_max(spark, sf_dir):
 
 @query
 def min_max_all_missing(spark, sf_dir):
-    return profile.min_max(_gappy_events(spark, sf_dir), "nothing")
+    other = F.when(F.col("event_type") != F.lower("event_type"), F.col("event_type"))
+    return profile.min_max(_table(spark, sf_dir, "events").withColumn("nothing", other), "nothing")
+
+
+@query
+def column_types(spark, sf_dir):
+    return profile.column_types(_table(spark, sf_dir, "lineitem"))
+
+
+@query
+def unknown_column(spark, sf_dir):
+    """A column that does not exist is an error that names it, whatever is asked about it."""
+    events = _table(spark, sf_dir, "events")
+    said = []
+    for ask in (profile.min_max, profile.value_counts, profile.sample_column):
+        try:
+            ask(events, "no_such")
+        except ValueError as error:
+            said.append(str(error).split(",")[0])
+    return events.agg(F.count("event_id").alias("rows")).withColumn("error", F.lit("; ".join(sorted(set(said)))))
 
 
 @query
@@ -384,12 +423,12 @@ def null_fractions(spark, sf_dir):
 
 @query
 def head_rows(spark, sf_dir):
-    return profile.head(_table(spark, sf_dir, "orders"), 25)
+    return profile.dataset_head(spark, f"{sf_dir}/orders.parquet", 25)
 
 
 @query
 def tail_rows(spark, sf_dir):
-    return profile.tail(_table(spark, sf_dir, "orders"), 25)
+    return profile.dataset_tail(spark, f"{sf_dir}/orders.parquet", 25)
 
 
 @query
@@ -405,7 +444,7 @@ def tail_filtered(spark, sf_dir):
 
 @query
 def sample_rows(spark, sf_dir):
-    return profile.sample_rows(_table(spark, sf_dir, "orders"), 50, seed=7)
+    return profile.sample_rows(_table(spark, sf_dir, "orders"), 50, seed=7, key=["o_orderkey"])
 
 
 @query
@@ -420,7 +459,7 @@ def sample_all_columns(spark, sf_dir):
 
 @query
 def sample_one_per_column(spark, sf_dir):
-    return profile.sample_all_columns(_table(spark, sf_dir, "orders"), seed=7)
+    return profile.sample_all_columns(_table(spark, sf_dir, "nation"), seed=7, key=["n_nationkey"])
 
 
 @query
@@ -467,6 +506,12 @@ def iso_times(spark, sf_dir):
     return _table(spark, sf_dir, "events").select("event_id", scalars.iso_seconds(F.col("ts")).alias("ts"))
 
 
+@query
+def iso_now(spark, sf_dir):
+    now = scalars.iso_now().rlike(r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d[+-]\d{4}$")
+    return _table(spark, sf_dir, "events").select("event_id", now.alias("iso"))
+
+
 @query
 def path_parts(spark, sf_dir):
     file = F.concat(F.lit("file:/data/set."), F.col("p_size"), F.lit("/"), F.col("p_brand"), F.lit("."), F.upper("p_type"))
@@ -482,7 +527,9 @@ def path_parts(spark, sf_dir):
 
 @query
 def blank_text(spark, sf_dir):
-    text: Column = F.when(F.col("turn") == 0, F.lit(" \t  ")).when(F.col("turn") == 1, F.lit("")).otherwise(F.col("text"))
+    # words gone, the blanks between them stay; or everything gone
+    emptied = F.concat(F.lit("\t"), F.regexp_replace("text", r"\S", ""))
+    text: Column = F.when(F.col("turn") == 0, emptied).when(F.col("turn") == 1, F.left("text", F.lit(0))).otherwise(F.col("text"))
     return (
         _table(spark, sf_dir, "conversations")
         .groupBy("turn")
@@ -510,43 +557,80 @@ def file_inventory(spark, sf_dir):
     return footers.groupBy(flag.alias("l_returnflag"), status.alias("l_linestatus")).agg(F.sum("num_rows").alias("rows"))
 
 
+def _file_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A listing of files that do not exist: figures about them can be told from the table they are made of."""
+    number = F.col("o_orderkey")
+    ending = (
+        F.when(number % 5 == 0, F.lit(".parquet")).when(number % 5 == 1, F.lit(".PARQ")).when(number % 5 == 2, F.lit("")).otherwise(F.lit(".zst"))
+    )
+    path = F.concat(F.lit("/data/"), F.lower("o_orderstatus"), F.lit("/RC_"), number, ending)
+    return _table(spark, sf_dir, "orders").select(
+        path.alias("path"),
+        paths.base_name(path).alias("name"),
+        paths.extension(path).alias("ext"),
+        (F.col("o_custkey") * 1000 + number % 1000).alias("length"),
+        F.col("o_orderdate").alias("modified"),
+    )
+
+
 @query
 def largest_files(spark, sf_dir):
-    folder = _stored_lineitem(spark, sf_dir)
-    return corpus.largest_files(list_dataset(spark, folder), folder)
+    return corpus.largest_files(_file_table(spark, sf_dir), "/data")
 
 
 @query
 def extension_counts(spark, sf_dir):
-    folder = scratch_dir(spark, "extensions")
-    orders = _table(spark, sf_dir, "orders")
-    write_parquet(orders, f"{folder}/parquet", "snappy", ("o_orderstatus",))
-    orders.write.option("compression", "gzip").json(f"{folder}/json")
-    write_csv(orders, f"{folder}/csv")
-    return corpus.extension_counts(list_dataset(spark, folder))
+    return corpus.extension_counts(_file_table(spark, sf_dir))
 
 
 @query
 def file_size_stats(spark, sf_dir):
-    return corpus.file_stats(list_dataset(spark, _stored_lineitem(spark, sf_dir)))
+    return corpus.file_stats(_file_table(spark, sf_dir))
+
+
+@query
+def ordered_files(spark, sf_dir):
+    """Files in the order jobs take them, those on the ignore list left out."""
+    kept = without(_file_table(spark, sf_dir), ["RC_4", "RC_5.parquet"])
+    place = F.row_number().over(Window.orderBy(F.monotonically_increasing_id()))
+    return ordered(kept).select("path").withColumn("place", place)
+
+
+def _footer_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    error = F.when(F.col("p_size") % 9 == 0, F.lit("unreadable"))
+    return _table(spark, sf_dir, "part").select(
+        F.concat(F.lit("file:/data/"), "p_partkey", F.lit(".parquet")).alias("path"),
+        F.when(error.isNull(), F.col("p_size")).alias("num_row_groups"),
+        F.when(error.isNull(), F.col("p_partkey") * 10).alias("num_rows"),
+        F.when(error.isNull(), F.col("p_partkey") * F.col("p_size")).alias("total_byte_size"),
+        error.alias("error"),
+    )
 
 
 @query
 def row_groups(spark, sf_dir):
-    footers = parquet_footers(list_dataset(spark, _stored_lineitem(spark, sf_dir)))
-    return corpus.row_group_totals(footers).select("files_unreadable", "total_rows")
+    return corpus.row_group_totals(_footer_table(spark, sf_dir))
 
 
 @query
 def most_row_groups(spark, sf_dir):
-    folder = _stored_lineitem(spark, sf_dir)
-    return corpus.most_row_groups(parquet_footers(list_dataset(spark, folder)), folder)
+    return corpus.most_row_groups(_footer_table(spark, sf_dir), "/data")
+
+
+@query
+def stored_row_groups(spark, sf_dir):
+    """Row groups of files written with a fixed number of rows in each."""
+    folder = scratch_dir(spark, "groups")
+    write_parquet(_table(spark, sf_dir, "orders"), folder, "snappy", ("o_orderstatus",), rows_per_group=1_000)
+    return corpus.row_group_totals(parquet_footers(list_dataset(spark, folder))).select(
+        "total_row_groups", "files_unreadable", "total_rows"
+    )
 
 
 @query
 def corpus_meta(spark, sf_dir):
     meta = corpus.corpus_meta(spark, _stored_lineitem(spark, sf_dir))
-    return meta.select("is_directory", "rows", "cols")
+    return meta.select("is_directory", "rows", "cols", F.get_json_object("ext_counts", "$['.parquet']").cast("bigint").alias("files"), "file_count")
 
 
 @query
@@ -558,6 +642,16 @@ def csv_roundtrip(spark, sf_dir):
     return reader.schema(docs.schema).csv(folder)
 
 
+@query
+def csv_first_rows(spark, sf_dir):
+    """The first rows of a view by its key, in that order."""
+    orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    folder = scratch_dir(spark, "csv")
+    write_csv(orders, folder, n=70, order_by=["o_orderpriority", "o_orderkey"])
+    place = F.row_number().over(Window.orderBy(F.monotonically_increasing_id()))
+    return spark.read.option("header", True).schema(orders.schema).csv(folder).withColumn("place", place)
+
+
 @query
 def parquet_roundtrip(spark, sf_dir):
     orders = _table(spark, sf_dir, "orders")
@@ -571,26 +665,91 @@ def parquet_roundtrip(spark, sf_dir):
     )
 
 
+def _codec() -> Column:
+    return F.element_at(F.split("path", "/"), -2).alias("codec")
+
+
 @query
 def decode_codecs(spark, sf_dir):
+    """The same lines in eight encodings, some with a byte that is no UTF-8."""
     customers = _table(spark, sf_dir, "customer")
     folder = scratch_dir(spark, "encodings")
-    for codec in ("none", "gzip", "bzip2"):
-        customers.write.option("compression", codec).json(f"{folder}/{codec}")
+    odd = F.when(F.col("c_custkey") % 10 == 0, F.unhex(F.lit("FF"))).otherwise(F.unhex(F.lit("")))
+    head, tail = F.concat(F.lit('{"c_name":"'), "c_name"), F.concat(
+        F.lit('","c_custkey":'), "c_custkey", F.lit(',"c_acctbal":'), F.col("c_acctbal").cast("decimal(18,2)"), F.lit("}")
+    )
+    line = F.concat(head.cast("binary"), odd, tail.cast("binary"))
+    write_dumps(customers.select(line.alias("line")), folder, list(ENCODINGS))
     lines = read_lines(list_dumps(spark, folder, recursive=True))
     record = F.from_json("value", customers.schema)
-    codec = F.element_at(F.split("path", "/"), -2)
     return (
-        lines.select(codec.alias("codec"), record.alias("r"))
+        lines.select(_codec(), record.alias("r"))
         .groupBy("codec")
         .agg(
             F.count("r.c_custkey").alias("n"),
             F.sum("r.c_custkey").alias("keys"),
             F.round(F.sum("r.c_acctbal"), 2).alias("balance"),
+            F.count_if(F.col("r.c_name").endswith("\ufffd")).alias("replaced"),
         )
     )
 
 
+@query
+def decode_cut_files(spark, sf_dir):
+    """Files cut in the middle, of all orders and of a few: each is reported, and what was decoded is kept from its start."""
+    folder, codecs = scratch_dir(spark, "cut"), ["gz", "bz2", "xz", "zst"]
+    orders = _table(spark, sf_dir, "orders")
+    for part, rows in (("all", orders), ("few", orders.where("o_orderkey % 40 = 0"))):
+        line = F.concat_ws(" ", F.monotonically_increasing_id(), "o_orderkey", "o_custkey", F.md5(F.col("o_orderkey").cast("string")))
+        write_dumps(rows.select(line.cast("binary").alias("line")), f"{folder}/{part}", codecs, cut=0.8)
+    lines = read_lines(list_dumps(spark, folder, recursive=True))
+    number = F.split("value", " ")[0].cast("bigint").bitwiseAND(F.lit((1 << 33) - 1))
+    files = lines.groupBy("path").agg(
+        F.count_if(F.col("error").isNotNull()).alias("errors"),
+        F.count("value").alias("kept"),
+        (F.max(number) + 1).alias("upto"),
+        F.count_if(F.size(F.split("value", " ")) != 4).alias("torn"),
+    )
+    return files.groupBy(_codec(), F.element_at(F.split("path", "/"), -3).alias("part")).agg(
+        F.bool_and(F.col("errors") == 1).alias("reported"),
+        F.bool_and(F.col("kept") == F.coalesce("upto", F.lit(0))).alias("from_start"),
+        F.sum("torn").alias("torn"),
+    )
+
+
+@query
+def union_lattice(spark, sf_dir):
+    """What each rule of the type lattice makes of orders stored in two forms."""
+    folder, orders = scratch_dir(spark, "lattice"), _table(spark, sf_dir, "orders")
+    stamp, number = F.col("o_orderdate").cast("timestamp"), F.col("o_orderkey").cast("int")
+    text, raw = F.col("o_orderpriority"), F.col("o_orderpriority").cast("binary")
+    date = F.col("o_orderdate").cast("date")
+    forms = {
+        "mixed_sign": (number, pa.int32(), number, pa.uint32()),
+        "widest": (number, pa.int32(), number.cast("long"), pa.int64()),
+        "one_zone": (stamp, pa.timestamp("us", "UTC"), stamp, pa.timestamp("ms", "UTC")),
+        "two_zones": (stamp, pa.timestamp("us", "UTC"), F.col("o_orderdate"), pa.timestamp("us")),
+        "text_and_date": (text, pa.string(), date, pa.date32()),
+        "all_binary": (raw, pa.binary(), raw, pa.large_binary()),
+        "all_null": (F.lit(None).cast("string"), pa.null(), F.lit(None).cast("string"), pa.null()),
+        "no_rule": (F.col("o_orderkey") % 2 == 0, pa.bool_(), date, pa.date32()),
+    }
+    for side in (0, 2):
+        rows = orders.select(*(form[side].alias(name) for name, form in forms.items()))
+        write_arrow(rows, f"{folder}/{side}", pa.schema([(name, form[side + 1]) for name, form in forms.items()]))
+    files = list_files(spark, folder, "*.parquet")
+    merged, numbers = union.union_files(files), union.union_schema(files, fallback="float64")
+    counted = merged.agg(*(F.count(name).alias(name) for name in forms))
+    entries = [
+        F.struct(
+            F.lit(name).alias("column"), F.lit(merged.schema[name].dataType.simpleString()).alias("type"),
+            F.lit(numbers[name].dataType.simpleString()).alias("fallback"), F.col(name).alias("n"),
+        )
+        for name in forms
+    ]
+    return counted.select(F.inline(F.array(*entries)))
+
+
 def _document_dumps(spark: SparkSession, sf_dir: str, codec: str) -> str:
     folder = scratch_dir(spark, "dumps")
     docs = _table(spark, sf_dir, "documents").select(F.upper("source").alias("subreddit"), "doc_id", "lang", "text", "n_chars")
@@ -622,6 +781,8 @@ def build_topic_report(spark, sf_dir):
     build_topic(spark, _document_dumps(spark, sf_dir, "gzip"), out, "src3")
     report = spark.read.json(f"{out}.report")
     return report.groupBy("event").agg(
+        F.max("settings.topic").alias("topic"),
+        F.sum("rows_written").alias("file_rows"),
         F.sum("lines_total").alias("lines_total"),
         F.sum("bad_json").alias("bad_json"),
         F.sum("matched").alias("matched"),
