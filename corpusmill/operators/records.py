@@ -21,10 +21,13 @@ DROPPED_FIELD = "edited"
 TIME_FIELDS = ("created", "created_utc")
 TEXT_FIELDS = ("title", "selftext", "body")
 
-BAD, OTHER, MATCH, BROKEN = "bad", "other", "match", "broken"
+BAD, OTHER, MATCH, BROKEN, TOO_LARGE = "bad", "other", "match", "broken", "too_large"
 
 # Plain JSON, with texts and numbers of any practical length.
-JSON_OPTIONS = {"allowSingleQuotes": "false", "maxStringLen": str(2**31 - 1), "maxNumLen": "4300"}
+MAX_DIGITS = 4300
+JSON_OPTIONS = {"allowSingleQuotes": "false", "maxStringLen": str(2**31 - 1), "maxNumLen": str(MAX_DIGITS)}
+# What a VARIANT can hold.
+MAX_RECORD_BYTES = 128 << 20
 
 # Objects keyed by data, read without a field per key.
 MAP_TYPE = T.MapType(T.StringType(), T.StringType(), True)
@@ -51,6 +54,11 @@ def _only_object(pair: Column, starts_object: Column) -> Column:
     return F.when(starts_object & whole, F.get(pair, F.lit(0)))
 
 
+def _beyond_limits(line: Column) -> Column:
+    """True for a line that no parse can settle; looked at for unparsed lines only."""
+    return (F.octet_length(line) > MAX_RECORD_BYTES) | line.rlike(f"[0-9]{{{MAX_DIGITS + 1}}}")
+
+
 def field_path(name: str) -> str:
     return "$['" + name.replace("\\", "\\\\").replace("'", "\\'") + "']"
 
@@ -73,13 +81,15 @@ def is_topic(record: Column, topic: str, field: str = TOPIC_FIELD) -> Column:
 def classify_lines(lines: DataFrame, topic: str, field: str = TOPIC_FIELD) -> DataFrame:
     """``(path, status, record, error)`` for every line that is not blank.
 
-    ``status`` is ``match``, ``other``, ``bad`` (not one JSON object) or ``broken`` (a file that
-    could not be read to its end). ``record`` is set on matches only.
+    ``status`` is ``match``, ``other``, ``bad`` (not one JSON object), ``too_large`` (beyond what can be parsed, so it
+    cannot be told; ``error`` says how long it is) or ``broken`` (a file that could not be read to its end). ``record``
+    is set on matches only.
     """
     broken, text = F.col("error").isNotNull(), F.col("value")
 
     def judged(record: Column) -> Column:
-        status = F.when(record.isNull(), BAD).when(is_topic(record, topic, field), MATCH).otherwise(OTHER)
+        unread = F.when(_beyond_limits(text), TOO_LARGE).otherwise(BAD)
+        status = F.when(record.isNull(), unread).when(is_topic(record, topic, field), MATCH).otherwise(OTHER)
         return F.struct(status.alias("verdict"), record.alias("parsed"))
 
     # Each step names the result of the one before, and a generator ends them, so that a line is
@@ -87,22 +97,25 @@ def classify_lines(lines: DataFrame, topic: str, field: str = TOPIC_FIELD) -> Da
     pairs = F.array(_bracketed(text))
     objects = F.transform(pairs, lambda pair: _only_object(pair, _starts_object(text)))
     verdicts = lines.filter(broken | ~is_blank(text)).select(
-        "path", "error", F.inline(F.transform(objects, judged))
+        "path", "error", F.octet_length(text).alias("bytes"), F.inline(F.transform(objects, judged))
     )
     return verdicts.select(
         "path",
         F.when(broken, BROKEN).otherwise(F.col("verdict")).alias("status"),
         F.when(F.col("verdict") == MATCH, F.col("parsed")).alias("record"),
-        "error",
+        F.when(F.col("verdict") == TOO_LARGE, F.concat(F.lit("a line of "), F.col("bytes"), F.lit(" bytes")))
+        .otherwise(F.col("error"))
+        .alias("error"),
     )
 
 
 def ingest_counts(classified: DataFrame) -> DataFrame:
-    """Per file: ``lines_total, bad_json, matched``. Counted in hash tables on the map side."""
+    """Per file: ``lines_total, bad_json, too_large, matched``. Counted in hash tables on the map side."""
     status = F.col("status")
     return classified.groupBy("path").agg(
         F.count_if(status != BROKEN).alias("lines_total"),
         F.count_if(status == BAD).alias("bad_json"),
+        F.count_if(status == TOO_LARGE).alias("too_large"),
         F.count_if(status == MATCH).alias("matched"),
     )
 
@@ -119,7 +132,7 @@ def read_errors(classified: DataFrame) -> DataFrame:
 def count_totals(counts: DataFrame) -> DataFrame:
     """Per-file counters with one more row, ``path`` NULL, for the whole run."""
     return counts.rollup("path").agg(
-        *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("lines_total", "bad_json", "matched"))
+        *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("lines_total", "bad_json", "too_large", "matched"))
     )
 
 

@@ -16,6 +16,7 @@ from corpusmill.operators.records import (
     BROKEN,
     MATCH,
     OTHER,
+    TOO_LARGE,
     TOPIC_FIELD,
     classify_lines,
     count_totals,
@@ -34,7 +35,7 @@ from corpusmill.sources.parquet import parquet_schema
 
 FOLDERS = ("_kind", "_month")
 # Statuses of staged lines: a folder each, so that a pass over the matches reads nothing else.
-STATUSES = (BAD, OTHER, MATCH, BROKEN)
+STATUSES = (BAD, OTHER, MATCH, BROKEN, TOO_LARGE)
 
 
 def refuse_below(path: str, folder: str) -> None:
@@ -141,6 +142,7 @@ def build_topic(
             "files_broken": n_broken,
             "lines_total": totals.lines_total,
             "bad_json": totals.bad_json,
+            "too_large": totals.too_large,
             "matched": totals.matched,
             "rows_written": rows,
         }
@@ -213,6 +215,7 @@ def ingest_report(counts: DataFrame, events: DataFrame) -> DataFrame:
         F.col("path").alias("file"),
         "lines_total",
         "bad_json",
+        "too_large",
         "matched",
         # every match is written
         F.col("matched").alias("rows_written"),

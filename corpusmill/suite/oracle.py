@@ -30,6 +30,7 @@ ORACLE = {
                       WHEN lower(source) = 'src3' THEN 'match' ELSE 'other' END AS status
           FROM documents)
         SELECT path, count(*) AS lines_total, count(*) FILTER (status = 'bad') AS bad_json,
+               CAST(0 AS BIGINT) AS too_large,
                count(*) FILTER (status = 'match') AS matched
         FROM s WHERE status <> 'blank' GROUP BY ROLLUP (path)""",
     "json_field_types": """

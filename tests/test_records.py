@@ -33,6 +33,15 @@ def frame(spark, lines, path="/d/RC_2025-03.zst"):
     return lines_of(df, F.lit(path), F.col("v"))
 
 
+def test_lines_beyond_the_limits_are_told_apart(spark, monkeypatch):
+    monkeypatch.setattr(R, "MAX_RECORD_BYTES", 40)
+    lines = ['{"subreddit":"x","n":' + "1" * 5000 + "}", "{" + "x" * 50, "{bad", '{"subreddit":"x","t":"' + "y" * 60 + '"}']
+    rows = {r.value: r for r in R.classify_lines(frame(spark, lines), "x").withColumn("value", F.col("error")).collect()}
+    assert set(rows) == {"a line of 5022 bytes", "a line of 51 bytes", None}
+    counts = R.ingest_counts(R.classify_lines(frame(spark, lines), "x")).first()
+    assert (counts.lines_total, counts.bad_json, counts.too_large, counts.matched) == (4, 1, 2, 1)
+
+
 def test_raw_lines(spark, plain_rows):
     classified = R.classify_lines(frame(spark, RAW_LINES), "Swim")
     counts = R.ingest_counts(classified).collect()
@@ -140,9 +149,9 @@ def test_counts_add_up_and_do_not_depend_on_partitions(spark):
         classified = R.classify_lines(lines.repartition(n), "swim")
         total = R.count_totals(R.ingest_counts(classified)).filter("path IS NULL").first()
         others = classified.filter("status = 'other'").count()
-        assert total.lines_total == total.bad_json + others + total.matched
+        assert total.lines_total == total.bad_json + total.too_large + others + total.matched
         results.append(tuple(total)[1:])
-    assert results[0] == results[1] == (105, 21, 56)
+    assert results[0] == results[1] == (105, 21, 0, 56)
 
 
 def test_counters_are_hashed_not_sorted(spark):
