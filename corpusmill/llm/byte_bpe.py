@@ -26,7 +26,9 @@ from corpusmill.llm.common import shuffle_partitions
 # Code points a chunk owns, and those it shares with the next chunk at least.
 CHUNK_CHARS = 32_768
 OVERLAP_CHARS = 64
-MEMO_PIECES = 300_000
+MEMO_PIECES = 100_000
+# Texts encoded into one output batch: bounds what a task holds of its output.
+BATCH_ROWS = 256
 
 TOKENS_SCHEMA = "doc_id long, row long, part int, parts int, ids binary"
 DIGEST_SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -70,7 +72,7 @@ def _whole(path: str, pattern: str):
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding = _encoding(path, pattern)
-        for batch in batches:
+        for batch in (b.slice(at, BATCH_ROWS) for b in batches for at in range(0, b.num_rows, BATCH_ROWS)):
             ids = [np.array(encoding.encode_ordinary(t), "<u4").tobytes() for t in batch.column("text").to_pylist()]
             ones = pa.array([1] * len(ids), pa.int32())
             yield pa.RecordBatch.from_arrays(
@@ -172,6 +174,28 @@ def _part(row: dict, begin: int, end: int) -> pa.RecordBatch:
     )
 
 
+def _planned(docs: DataFrame, ranks_path: str, pattern: str, id_col: str, text_col: str, chunk: int, overlap: int, after, schema):
+    """The token table, each partition of it run through ``after`` by the same worker that made it."""
+    spark = docs.sparkSession
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"),
+        F.monotonically_increasing_id().alias("row"),
+        F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+    )
+    whole = _whole(ranks_path, pattern)
+    long_text = F.char_length("text") > chunk
+    short = rows.where(~long_text).mapInArrow(lambda batches: after(whole(batches)), schema)
+    n = shuffle_partitions(spark)
+    loose = (
+        rows.where(long_text)
+        .mapInArrow(_cutter(chunk, overlap), _CHUNK_SCHEMA)
+        .repartition(n, "row", "chunk")
+        .mapInArrow(_loose(ranks_path, pattern), _LOOSE_SCHEMA)
+    )
+    in_order = loose.repartition(n, "row").sortWithinPartitions("row", "chunk")
+    return short.unionByName(in_order.mapInArrow(lambda batches: after(_stitch(batches)), schema))
+
+
 def encode(
     docs: DataFrame,
     ranks_path: str,
@@ -186,43 +210,25 @@ def encode(
     The ids are those of encoding each match of the pattern on its own, without special tokens. A NULL or empty text
     gives one part without ids; repeated rows are told apart by ``row``. Other columns of ``docs`` are not read.
     """
-    spark = docs.sparkSession
-    rows = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"),
-        F.monotonically_increasing_id().alias("row"),
-        F.coalesce(F.col(text_col), F.lit("")).alias("text"),
-    )
-    long_text = F.char_length("text") > chunk_chars
-    short = rows.where(~long_text).mapInArrow(_whole(ranks_path, pattern), TOKENS_SCHEMA)
-    n = shuffle_partitions(spark)
-    loose = (
-        rows.where(long_text)
-        .mapInArrow(_cutter(chunk_chars, overlap_chars), _CHUNK_SCHEMA)
-        .repartition(n, "row", "chunk")
-        .mapInArrow(_loose(ranks_path, pattern), _LOOSE_SCHEMA)
-    )
-    stitched = (
-        loose.repartition(n, "row").sortWithinPartitions("row", "chunk").mapInArrow(_stitch, TOKENS_SCHEMA)
-    )
-    return short.unionByName(stitched)
-
+    return _planned(docs, ranks_path, pattern, id_col, text_col, chunk_chars, overlap_chars, iter, TOKENS_SCHEMA)
 
-def decode(tokens: DataFrame, ranks_path: str) -> DataFrame:
-    """The bytes each part's ids stand for, one token's raw bytes after the other, as column ``bytes``."""
 
+def _decoder(ranks_path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = _byte_table(ranks_path)
         for batch in batches:
-            out = [b"".join(map(of.__getitem__, np.frombuffer(ids, "<u4").tolist())) for ids in _binary(batch, "ids")]
+            ids = batch.column("ids").to_pylist()
+            out = [b"".join(map(of.__getitem__, np.frombuffer(part, "<u4").tolist())) for part in ids]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(out, pa.binary())], names=[*batch.schema.names, "bytes"]
             )
 
-    return tokens.mapInArrow(run, f"{TOKENS_SCHEMA}, bytes binary")
+    return run
 
 
-def _binary(batch: pa.RecordBatch, name: str) -> list[bytes]:
-    return batch.column(name).to_pylist()
+def decode(tokens: DataFrame, ranks_path: str) -> DataFrame:
+    """The bytes each part's ids stand for, one token's raw bytes after the other, as column ``bytes``."""
+    return tokens.mapInArrow(_decoder(ranks_path), f"{TOKENS_SCHEMA}, bytes binary")
 
 
 def _byte_table(ranks_path: str) -> list[bytes]:
@@ -233,30 +239,43 @@ def _byte_table(ranks_path: str) -> list[bytes]:
     return table
 
 
-def digests(decoded: DataFrame) -> DataFrame:
-    """Per document the number of ids, the SHA-256 of the ids and of the decoded bytes.
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Decoded parts in, one row per document out: its parts follow each other."""
+    ids_hash = bytes_hash = None
+    for batch in batches:
+        done = []
+        names = ("doc_id", "part", "parts", "ids", "bytes")
+        for doc_id, part, parts, ids, text in zip(*(batch.column(n).to_pylist() for n in names)):
+            if part == 0:
+                ids_hash, bytes_hash, n_tokens = hashlib.sha256(), hashlib.sha256(), 0
+            ids_hash.update(ids)
+            bytes_hash.update(text)
+            n_tokens += len(ids) // 4
+            if part + 1 == parts:
+                done.append((doc_id, n_tokens, ids_hash.hexdigest(), bytes_hash.hexdigest()))
+        columns = list(zip(*done)) if done else [[], [], [], []]
+        types = (pa.int64(), pa.int64(), pa.string(), pa.string())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(columns, types)],
+            names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+        )
+
+
+def digests(
+    docs: DataFrame,
+    ranks_path: str,
+    pattern: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    chunk_chars: int = CHUNK_CHARS,
+    overlap_chars: int = OVERLAP_CHARS,
+) -> DataFrame:
+    """Per row ``doc_id, n_tokens, ids_sha256, decoded_sha256``: what :func:`encode` and :func:`decode` give, digested.
 
-    Takes what :func:`decode` makes of :func:`encode`'s table: parts of a document follow each other in a partition.
+    Encoding, decoding and digesting run in the same worker, so neither ids nor bytes travel between them.
     """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_hash = bytes_hash = None
-        for batch in batches:
-            done = []
-            names = ("doc_id", "part", "parts", "ids", "bytes")
-            for doc_id, part, parts, ids, text in zip(*(batch.column(n).to_pylist() for n in names)):
-                if part == 0:
-                    ids_hash, bytes_hash, n_tokens = hashlib.sha256(), hashlib.sha256(), 0
-                ids_hash.update(ids)
-                bytes_hash.update(text)
-                n_tokens += len(ids) // 4
-                if part + 1 == parts:
-                    done.append((doc_id, n_tokens, ids_hash.hexdigest(), bytes_hash.hexdigest()))
-            columns = list(zip(*done)) if done else [[], [], [], []]
-            types = (pa.int64(), pa.int64(), pa.string(), pa.string())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, types)],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
-
-    return decoded.mapInArrow(run, DIGEST_SCHEMA)
+    decoder = _decoder(ranks_path)
+    return _planned(
+        docs, ranks_path, pattern, id_col, text_col, chunk_chars, overlap_chars,
+        lambda batches: _digests(decoder(batches)), DIGEST_SCHEMA,
+    )

@@ -84,13 +84,19 @@ def test_cache_is_used_and_filled(spark, make_docs):
 def test_no_documents(spark, make_docs):
     empty = make_docs([])
     assert token_counts.token_counts(empty, WORDS, scratch_dir(spark, "cache")).collect() == []
-    assert byte_bpe.digests(byte_bpe.decode(byte_bpe.encode(empty, RANKS, public_tokenizers.PATTERN), RANKS)).collect() == []
+    assert byte_bpe.digests(empty, RANKS, public_tokenizers.PATTERN).collect() == []
+    assert byte_bpe.decode(byte_bpe.encode(empty, RANKS, public_tokenizers.PATTERN), RANKS).collect() == []
 
 
 @pytest.mark.parametrize("chunk,overlap", [(byte_bpe.CHUNK_CHARS, byte_bpe.OVERLAP_CHARS), (50, 8)])
 def test_ids_and_bytes(messy_docs, encoding, chunk, overlap):
-    tokens = byte_bpe.encode(messy_docs, RANKS, public_tokenizers.PATTERN, chunk_chars=chunk, overlap_chars=overlap)
-    found = byte_bpe.digests(byte_bpe.decode(tokens, RANKS)).collect()
+    sizes = {"chunk_chars": chunk, "overlap_chars": overlap}
+    found = byte_bpe.digests(messy_docs, RANKS, public_tokenizers.PATTERN, **sizes).collect()
+    parts = byte_bpe.decode(byte_bpe.encode(messy_docs, RANKS, public_tokenizers.PATTERN, **sizes), RANKS).collect()
+    texts = {}
+    for part in sorted(parts, key=lambda r: (r["row"], r["part"])):
+        texts[part["row"]] = texts.get(part["row"], b"") + bytes(part["bytes"])
+    assert sorted(texts.values()) == sorted((r["text"] or "").encode() for r in messy_docs.collect())
     want = []
     for row in messy_docs.collect():
         ids = np.array(encoding.encode_ordinary(row["text"] or ""), "<u4")
