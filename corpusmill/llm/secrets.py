@@ -26,6 +26,8 @@ MIN_LENGTH = {"assign": 6, "access": 20, "hex": 24}
 TOKEN = "[A-Za-z0-9+/_=-]+"
 MIN_TOKEN = 16
 MIN_RATIO = 8.0
+# Weight of a character's own frequency in the chance of a step to it.
+BACKOFF = 5.0
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 
 # Marks are private-use characters; a text that holds them gets others in their place, which no pattern matches either.
@@ -99,15 +101,22 @@ def train(samples: DataFrame) -> list[float]:
     """
     steps = samples.where("token is not null").distinct().select("is_random", F.explode(_steps(_letters(F.col("token")))).alias("step"))
     width = len(ALPHABET) + 1
-    counts = {True: [0.5] * width**2, False: [0.5] * width**2}
+    counts = {True: [0] * width**2, False: [0] * width**2}
     for row in steps.groupBy("is_random", "step").agg(F.count(F.lit(1)).alias("n")).collect():
         counts[row["is_random"]][row["step"]] += row["n"]
-    ratios = []
-    for pair in range(width**2):
-        first = pair // width * width
-        shares = [counts[kind][pair] / sum(counts[kind][first : first + width]) for kind in (True, False)]
-        ratios.append(round(math.log(shares[0] / shares[1]), 6))
-    return ratios
+    chains = [_smoothed(counts[kind], width) for kind in (True, False)]
+    return [round(math.log(random / plain), 6) for random, plain in zip(*chains)]
+
+
+def _smoothed(counts: list[int], width: int) -> list[float]:
+    """Chances of each step; where a character was seldom followed by anything, those of the next character alone."""
+    total = sum(counts) + 0.5 * width
+    alone = [(sum(counts[c::width]) + 0.5) / total for c in range(width)]
+    chances = []
+    for first in range(0, width**2, width):
+        row = counts[first : first + width]
+        chances += [(n + BACKOFF * p) / (sum(row) + BACKOFF) for n, p in zip(row, alone)]
+    return chances
 
 
 def log_ratio(token: Column, ratios: list[float]) -> Column:

@@ -1,4 +1,5 @@
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -42,17 +43,29 @@ def test_base_spans(make_docs, messy_docs):
     assert sorted(got, key=str) == want
 
 
-def test_models_add_spans(make_docs):
+def test_models_add_spans(spark, make_docs):
+    rng = random.Random(8)
+    letters = secrets.ALPHABET[:62]
     plain = [f"some_{a}identifier{b}_of_words handler-for-{b}-things" for a in ("long", "other", "third") for b in ("red", "blue", "green")]
-    keys = [f"token = {zlib.crc32(str(n).encode()):x}Qz{zlib.adler32(str(n * 7).encode()):X}k{n * 7919}" for n in range(60)]
+    samples = [("".join(rng.choices(letters, k=24)), True) for _ in range(300)]
+    samples += [(word, False) for text in plain for word in text.split()]
     planted = "see xK9fQ2zLw81TrB4mNp7V there, and some_other_identifier_green too; token=abcdef0123456789abcd"
-    docs = make_docs([(n, t, "en", "a") for n, t in enumerate([*plain * 3, *keys, planted])])
-    found = {r["doc_id"]: r["spans"] for r in secrets.find_secrets(docs).collect()}
-    spans = found[len(plain) * 3 + len(keys)]
-    assert [(secrets.KINDS[s["kind"]], s["value"]) for s in spans] == [
+    docs = make_docs([(n, t, "en", "a") for n, t in enumerate([*plain, planted])])
+    labelled = spark.createDataFrame(samples, "token string, is_random boolean")
+    found = {r["doc_id"]: r["spans"] for r in secrets.find_secrets(docs, labelled).collect()}
+    assert [(secrets.KINDS[s["kind"]], s["value"]) for s in found[len(plain)]] == [
         ("markov", "xK9fQ2zLw81TrB4mNp7V"), ("assign", "abcdef0123456789abcd")
     ]
-    assert not any(found[n] for n in range(len(plain) * 3))
+    assert not any(found[n] for n in range(len(plain)))
+
+
+def test_models_learn_from_the_corpus(spark):
+    """What the patterns find is random to the models, and ordinary long words are not."""
+    docs = spark.read.parquet(DOCS)
+    spans = secrets.find_secrets(docs).select("doc_id", F.inline("spans")).collect()
+    base = [s for s in spans if s["kind"] < 3]
+    extra = [s["value"] for s in spans if s["kind"] == 3]
+    assert len(base) > 10 and not [v for v in extra if v.isalpha()]
 
 
 def test_log_ratio_is_the_chains(spark):
@@ -62,11 +75,12 @@ def test_log_ratio_is_the_chains(spark):
     width = len(secrets.ALPHABET) + 1
 
     def chain(tokens):
-        counts = np.full((width, width), 0.5)
+        counts = np.zeros((width, width))
         for t in tokens:
             for a, b in zip(t, t[1:]):
                 counts[place.get(a, 0), place.get(b, 0)] += 1
-        return counts / counts.sum(axis=1, keepdims=True)
+        alone = (counts.sum(axis=0) + 0.5) / (counts.sum() + 0.5 * width)
+        return (counts + secrets.BACKOFF * alone) / (counts.sum(axis=1, keepdims=True) + secrets.BACKOFF)
 
     table = np.log(chain({"a9zQ-x", "é1"}) / chain({"abababab", "x"}))
     assert np.allclose(table.reshape(-1), ratios, atol=1e-5)
@@ -156,13 +170,14 @@ def test_importance_weights(spark, messy_docs):
         if doc_id in (3, 4):
             target.update(plain_features(text))
     size = quality.BUCKETS
-    def ratio(b):  # noqa: E306
+
+    def ratio(b):
         return math.log((target[b] + 1) / (target.total() + size)) - math.log((raw[b] + 1) / (raw.total() + size))
 
-    want = sorted((str(i), round(sum(map(ratio, plain_features(t))), 6)) for i, t in docs)
-    assert sorted((str(r["doc_id"]), round(r["log_weight"], 6)) for r in rows) == pytest.approx(want) or [
-        w for _, w in want
-    ] == pytest.approx([w for _, w in sorted((str(r["doc_id"]), r["log_weight"]) for r in rows)], abs=1e-5)
+    want = sorted((str(i), sum(map(ratio, plain_features(t)))) for i, t in docs)
+    got = sorted((str(r["doc_id"]), r["log_weight"]) for r in rows)
+    assert [i for i, _ in got] == [i for i, _ in want]
+    assert [w for _, w in got] == pytest.approx([w for _, w in want], abs=1e-6)
     assert sum(r["selected"] for r in rows) == round(0.5 * len(docs))
 
 
