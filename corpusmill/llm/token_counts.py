@@ -148,21 +148,23 @@ def token_counts(
     """
     spark = docs.sparkSession
     version = tokenizer_version(tokenizer_path)
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).select(
-        "doc_id", "text", F.unhex(F.sha2(normalised(F.col("text")), 256)).alias("digest")
-    )
-    n_bytes = F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes")
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    # with its id, a plain hash of the text names a row's text again without normalising it twice
+    texts = texts.withColumn("place", F.xxhash64("text"))
+    digest = F.unhex(F.sha2(normalised(F.col("text")), 256)).alias("digest")
+    n_bytes = F.octet_length("text").cast("long").alias("n_bytes")
     # digests are a few bytes a document: staged, they spare another pass over the texts
-    digests = stage(texts.select("doc_id", n_bytes, "digest"), "token-digests")
+    digests = stage(texts.select("doc_id", "place", n_bytes, digest), "token-digests")
 
     known = cached_counts(spark, cache_path, version)
-    misses = digests.groupBy("digest").agg(F.min("doc_id").alias("first_id")).join(known, "digest", "left_anti")
+    first = F.min(F.struct("doc_id", "place")).alias("first")
+    misses = digests.groupBy("digest").agg(first).join(known, "digest", "left_anti").select("digest", "first.*")
     # the texts stream past hash tables of ids: they are neither sorted nor spilled
     wanted = texts.alias("t").join(
         misses.alias("m").hint("shuffle_hash"),
-        (F.col("t.digest") == F.col("m.digest")) & F.col("t.doc_id").eqNullSafe(F.col("m.first_id")),
+        (F.col("t.place") == F.col("m.place")) & F.col("t.doc_id").eqNullSafe(F.col("m.doc_id")),
     )
-    fresh = wanted.select("t.digest", F.coalesce("t.text", F.lit("")).alias("text")).mapInArrow(
+    fresh = wanted.select("m.digest", "t.text").mapInArrow(
         _encoder(tokenizer_path), "digest binary, n_tokens long"
     )
     fresh.withColumn("tokenizer", F.lit(version)).write.mode("append").parquet(cache_path)
