@@ -122,8 +122,10 @@ def train(
     totals = {(r["grams"], r["lang"]): (r["n"], r["kinds"]) for r in counts.groupBy("grams", "lang").agg(
         F.sum("n").alias("n"), F.count(F.lit(1)).alias("kinds")).collect()}
     frequent = [F.desc("n"), "grams", "gram", "lang"]
-    kept = counts.where("grams = 0").orderBy(*frequent).limit(max_words).collect()
-    kept += counts.where("grams > 0").orderBy(*frequent).limit(max_grams).collect()
+    kept = []
+    for which, most in (("grams = 0", max_words), ("grams > 0", max_grams)):
+        # staged, the entries meet in a task; collected at once, every partition would send the driver as many
+        kept += stage(counts.where(which).orderBy(*frequent).limit(most), "language-entries").collect()
 
     languages = sorted({lang for order, lang in totals if order == -1})
     place = {lang: n for n, lang in enumerate(languages)}
