@@ -26,24 +26,31 @@ SEED = 42
 BLOCK = 65_536
 
 
-def fingerprint(text: bytes, shingle_words: int = SHINGLE_WORDS) -> int:
-    """The SimHash of a text's word shingles as a signed 64-bit number; 0 without words."""
+def shingle_hashes(text: bytes, shingle_words: int) -> Iterator[np.ndarray]:
+    """The hashes of a text's word shingles in order, a block at a time; a shorter text is one shingle."""
     import xxhash
 
     words = text.lower().split()  # on bytes: A-Z, and blanks \x20 \x09-\x0D
     if not words:
-        return 0
+        return
     whole, digest = b" ".join(words), xxhash.xxh64_intdigest
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     reach = min(shingle_words, len(words)) - 1
     starts, ends = starts[: len(words) - reach].tolist(), ends[reach:].tolist()
-    counts = np.zeros(64, np.int64)
     for at in range(0, len(starts), BLOCK):
         hashes = [digest(whole[s:e], SEED) for s, e in zip(starts[at : at + BLOCK], ends[at : at + BLOCK])]
-        bits = np.unpackbits(np.array(hashes, "<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        yield np.array(hashes, "<u8")
+
+
+def fingerprint(text: bytes, shingle_words: int = SHINGLE_WORDS) -> int:
+    """The SimHash of a text's word shingles as a signed 64-bit number; 0 without words."""
+    counts, shingles = np.zeros(64, np.int64), 0
+    for hashes in shingle_hashes(text, shingle_words):
+        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         counts += bits.sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * counts > len(starts), bitorder="little").view("<i8")[0])
+        shingles += len(hashes)
+    return int(np.packbits(2 * counts > shingles, bitorder="little").view("<i8")[0])
 
 
 def _fingerprints(shingle_words: int):
