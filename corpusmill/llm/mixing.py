@@ -144,11 +144,13 @@ def split_quotas(quotas: DataFrame, shards: int = SHARDS, seed: int = SEED) -> D
     return leaves.select("source", "shard", (upto - F.col("quota")).alias("first"), upto.alias("last"))
 
 
-def draw(sized: DataFrame, shards: int = SHARDS, seed: int = SEED, weights: tuple = WEIGHTS, max_passes: int = MAX_PASSES):
+def draw(sized: DataFrame, shards: int = SHARDS, seed: int = SEED, weights: tuple = WEIGHTS, max_passes: int = MAX_PASSES,
+         until_none_fits: bool = True):
     """``row, shards``: for every row of ``row, doc_id, source, size`` the shards its copies go to, one entry a copy.
 
-    A source's words in the mix come within a document of its target: whole passes, whole blocks of the last pass, rows
-    of the block in which the target falls as far as they fit, and the one row left that fits best into the rest.
+    A source's words in the mix fall short of its target by less than its smallest left-out document: whole passes, whole
+    blocks of the last pass, rows of the block in which the target falls as far as they fit, the one row left that fits
+    best into the rest, and further rows until none fits; without ``until_none_fits``, that one row is the last.
     """
     plan = targets(sized, weights, max_passes)
     blocks_of = F.greatest(F.ceil(F.sqrt(F.col("n").cast("double"))), F.lit(1)).cast("long")
@@ -192,8 +194,28 @@ def draw(sized: DataFrame, shards: int = SHARDS, seed: int = SEED, weights: tupl
     fitting = candidates.join(
         inside.where("fits").select(F.col("row").alias("in_row")), F.col("d.row") == F.col("in_row"), "left_anti"
     )
-    best = fitting.groupBy("d.source").agg(F.max(F.struct("d.size", "d.place", "d.row")).alias("best")).select("best.row")
-    extra = stage(inside.where("fits").select("row").unionByName(best), "mix-extra")
+    fitting = fitting.select("d.source", "d.block", "d.row", "d.size", "d.place", "g.gap")
+    largest = F.max(F.struct("size", "place", "row")).alias("best")
+    best = stage(fitting.groupBy("source").agg(largest).select("source", "best.row", "best.size"), "mix-best")
+    extra = inside.where("fits").select("row").unionByName(best.select("row"))
+    others = fitting.alias("d").join(F.broadcast(best.alias("b")), F.col("d.source").eqNullSafe(F.col("b.source"))).where("d.row <> b.row")
+    pool = others.select("d.source", "d.block", "d.row", "d.size", "d.place", (F.col("d.gap") - F.col("b.size")).alias("gap"))
+    pool = stage(pool.where("size <= gap"), "mix-pool") if until_none_fits else None
+    # where a long row ended the filling, left-out rows that still fit are drawn in permuted order, until none fits
+    while until_none_fits and not pool.isEmpty():
+        words = pool.groupBy("source", "block").agg(F.sum("size").alias("words"))
+        before = F.sum("words").over(Window.partitionBy("source").orderBy("block")) - F.col("words")
+        begun = words.select("source", "block", before.alias("before"))
+        same = F.col("d.source").eqNullSafe(F.col("w.source")) & (F.col("d.block") == F.col("w.block"))
+        filled = F.col("before") + F.sum("size").over(Window.partitionBy("source", "block").orderBy("place", "row"))
+        drawn = pool.alias("d").join(begun.alias("w"), same).select("d.*", "w.before").withColumn("filled", filled).drop("before")
+        drawn = stage(drawn.withColumn("fits", F.col("filled") <= F.col("gap")), "mix-fill")
+        extra = extra.unionByName(drawn.where("fits").select("row"))
+        spent = drawn.where("fits").groupBy("source").agg(F.max("filled").alias("spent"))
+        left = drawn.where("not fits").alias("d").join(F.broadcast(spent.alias("s")), F.col("d.source").eqNullSafe(F.col("s.source")))
+        left = left.select("d.source", "d.block", "d.row", "d.size", "d.place", (F.col("d.gap") - F.col("s.spent")).alias("gap"))
+        pool = stage(left.where("size <= gap"), "mix-pool")
+    extra = stage(extra, "mix-extra")
 
     # numbers of the drawn blocks: pass by pass in permuted order; the edge block is the last one
     partial = F.col("full") | F.col("edge")
@@ -249,6 +271,7 @@ def mixture(
     seed: int = SEED,
     weights: tuple = WEIGHTS,
     max_passes: int = MAX_PASSES,
+    until_none_fits: bool = True,
 ) -> DataFrame:
     """Per row ``doc_id, size, source_size, target, taken, shards``: what the mix takes of it.
 
@@ -257,7 +280,7 @@ def mixture(
     number of copies, at most ``max_passes``. The same table, seed and number of shards give the same mix.
     """
     sized = stage(sized_rows(docs, id_col, source_col, text_col).drop("doc"), "mix-sizes")
-    drawn = draw(sized, shards, seed, weights, max_passes)
+    drawn = draw(sized, shards, seed, weights, max_passes, until_none_fits)
     plan = targets(sized, weights, max_passes)
     return (
         sized.alias("s").join(drawn.alias("w"), F.col("s.row") == F.col("w.row"))

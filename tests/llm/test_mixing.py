@@ -105,3 +105,18 @@ def test_splitting_tree_keeps_quotas(spark):
     for source, quota in quotas.items():
         own = sorted((r["first"], r["last"]) for r in leaves if r["source"] == source)
         assert own[0][0] == 0 and own[-1][1] == quota and all(x[1] == y[0] for x, y in zip(own, own[1:]))
+
+
+@pytest.mark.parametrize("seed", [1, 5])
+def test_a_long_document_leaves_no_gap(spark, seed):
+    sizes = [40 + (n * 37) % 160 for n in range(300)]
+    sizes.append(sum(sizes) // 2)  # a third of its source
+    rows = [(n, "a", size) for n, size in enumerate(sizes)] + [(1000, "b", 3 * sum(sizes))]
+    sized = spark.createDataFrame(rows, "row long, source string, size long").withColumn("doc_id", F.col("row"))
+    sized = sized.localCheckpoint()
+    target = {r["source"]: r["target"] for r in mixing.targets(sized, weights=(1, 5)).collect()}["a"]
+    copies = {r["row"]: len(r["shards"]) for r in mixing.draw(sized, seed=seed, weights=(1, 5)).collect()}
+    rest = round(target) - sum(size * copies[n] for n, size in enumerate(sizes))
+    passes = int(target // sum(sizes))
+    left_out = [size for n, size in enumerate(sizes) if copies[n] == passes]
+    assert 0 <= rest < min(left_out)
