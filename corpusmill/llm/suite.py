@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.llm import (
     byte_bpe,
+    conversation_repair,
     kd_search,
     language_id,
     line_dedup,
@@ -98,11 +99,16 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns, gone = conversation_repair.damaged(_table(spark, sf_dir, "conversations"))
+    return conversation_repair.audits(turns, gone=gone).drop("n_turns")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_token_counts, op2_line_dedup, op3_exact_top_k, op4_nearest, op5_secrets,
-        op6_language_id, op7_byte_bpe, op8_mixture, op9_quality, op10_simhash,
+        op6_language_id, op7_byte_bpe, op8_mixture, op9_quality, op10_simhash, op11_conversation_repair,
     )
 }
 
@@ -185,4 +191,85 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, size, source_size, target,
                (size * (passes + (whole OR (edge AND filled <= room) OR best)::INT))::BIGINT AS taken
         FROM fitted""",
+    "op11_conversation_repair": r"""
+        WITH crc AS (
+            SELECT list_transform(range(256), lambda n: list_reduce(range(8), lambda c, _:
+                CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, n::BIGINT)) AS t
+        ),
+        damaged AS (
+            SELECT conv_id, turn, damage,
+                   CASE damage WHEN 4 THEN 'user' ELSE coalesce(role, ' ') END AS role,
+                   CASE damage WHEN 1 THEN '' WHEN 2 THEN regexp_replace(coalesce(text, ' '), '[.!?]', '', 'g')
+                        ELSE coalesce(text, ' ') END AS text
+            FROM (SELECT *, xor(list_reduce(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''),
+                                            lambda c, x: xor(crc.t[(xor(c, ord(x)) & 255) + 1], c >> 8), 4294967295), 4294967295) % 20 AS damage
+                  FROM conversations, crc)
+        ),
+        turns AS (
+            SELECT conv_id, turn, role, text, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) AS nth,
+                   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place
+            FROM (FROM damaged WHERE damage > 0 UNION ALL FROM damaged WHERE damage = 3)
+        ),
+        judged AS (
+            SELECT *, CASE WHEN ending = '' THEN 1 WHEN nth > 1 THEN 2 WHEN right(ending, 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault,
+                   coalesce(lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY place) || left(role, 1) NOT IN ('su', 'ua', 'au'), false) AS odd
+            FROM (SELECT *, regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS ending FROM turns)
+        ),
+        counted AS (
+            SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 1) AS blank,
+                   count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated, count(*) FILTER (odd) AS illegal,
+                   list({'role': role, 'text': text, 'fault': fault} ORDER BY place) AS rows_
+            FROM judged GROUP BY conv_id
+        ),
+        -- per state of the grammar the least (cost, audit, text): nothing yet, after s, after u, after a
+        steps AS (
+            SELECT conv_id, 0 AS i, {'c': 0, 'a': '', 't': ''} AS n0, {'c': 1000000, 'a': '', 't': ''} AS s0,
+                   {'c': 2, 'a': 'I', 't': chr(10) || 'user:'} AS u0, {'c': 4, 'a': 'II', 't': chr(10) || 'user:' || chr(10) || 'assistant:'} AS a0
+            FROM counted
+        ),
+        walked AS (
+            WITH RECURSIVE w AS (
+                FROM steps
+                UNION ALL
+                SELECT conv_id, i, n1, s1, least(u1, {'c': n1.c + 2, 'a': n1.a || 'I', 't': n1.t || chr(10) || 'user:'},
+                                                     {'c': s1.c + 2, 'a': s1.a || 'I', 't': s1.t || chr(10) || 'user:'},
+                                                     {'c': a1.c + 2, 'a': a1.a || 'I', 't': a1.t || chr(10) || 'user:'}),
+                       least(a1, {'c': u1.c + 2, 'a': u1.a || 'I', 't': u1.t || chr(10) || 'assistant:'},
+                                 {'c': n1.c + 4, 'a': n1.a || 'II', 't': n1.t || chr(10) || 'user:' || chr(10) || 'assistant:'},
+                                 {'c': s1.c + 4, 'a': s1.a || 'II', 't': s1.t || chr(10) || 'user:' || chr(10) || 'assistant:'})
+                FROM (
+                    SELECT conv_id, i + 1 AS i, {'c': n0.c + 3, 'a': n0.a || 'D', 't': n0.t} AS n1,
+                           least({'c': s0.c + 3, 'a': s0.a || 'D', 't': s0.t},
+                                 {'c': n0.c + CASE WHEN left(role, 1) = 's' THEN stay ELSE 1000000 END, 'a': n0.a || 'K', 't': n0.t || as_is}) AS s1,
+                           least({'c': u0.c + 3, 'a': u0.a || 'D', 't': u0.t},
+                                 {'c': n0.c + as_u.c, 'a': n0.a || as_u.a, 't': n0.t || as_u.t},
+                                 {'c': s0.c + as_u.c, 'a': s0.a || as_u.a, 't': s0.t || as_u.t},
+                                 {'c': a0.c + as_u.c, 'a': a0.a || as_u.a, 't': a0.t || as_u.t}) AS u1,
+                           least({'c': a0.c + 3, 'a': a0.a || 'D', 't': a0.t},
+                                 {'c': u0.c + as_a.c, 'a': u0.a || as_a.a, 't': u0.t || as_a.t}) AS a1
+                    FROM (
+                        SELECT *, CASE WHEN left(role, 1) = 'u' THEN {'c': stay, 'a': 'K', 't': as_is}
+                                       ELSE {'c': stay + 2, 'a': 'R', 't': chr(10) || 'user:' || text} END AS as_u,
+                               CASE WHEN left(role, 1) = 'a' THEN {'c': stay, 'a': 'K', 't': as_is}
+                                    ELSE {'c': stay + 2, 'a': 'R', 't': chr(10) || 'assistant:' || text} END AS as_a
+                        FROM (
+                            SELECT w.*, c.rows_[i + 1].role AS role, c.rows_[i + 1].text AS text, chr(10) || c.rows_[i + 1].role || ':' || c.rows_[i + 1].text AS as_is,
+                                   CASE c.rows_[i + 1].fault WHEN 0 THEN 0 WHEN 3 THEN 1 ELSE 1000000 END AS stay
+                            FROM w JOIN counted c ON w.conv_id IS NOT DISTINCT FROM c.conv_id WHERE i < len(c.rows_)
+                        )
+                    )
+                )
+            )
+            FROM w
+        ),
+        best AS (
+            SELECT w.conv_id, least(n0, a0) AS b FROM walked w
+            JOIN counted c ON w.conv_id IS NOT DISTINCT FROM c.conv_id WHERE i = len(c.rows_)
+        )
+        SELECT d.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+               coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(b.c, 0)::BIGINT AS cost, coalesce(b.a, '') AS audit,
+               sha256(coalesce(substr(b.t, 2), '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) d
+        LEFT JOIN counted c ON d.conv_id IS NOT DISTINCT FROM c.conv_id
+        LEFT JOIN best ON d.conv_id IS NOT DISTINCT FROM best.conv_id""",
 }
