@@ -343,10 +343,11 @@ def _judged(turns: DataFrame, conv_col: str, turn_col: str, role_col: str, text_
         .when(~F.substring(ending, -1, 1).isin(".", "!", "?"), IS_TRUNCATED)
         .otherwise(SOUND)
     )
-    judged = whole.withColumn("nth", F.row_number().over(same)).select(
+    # of equal turns the one that counts as first comes first
+    ordered = whole.withColumn("nth", F.row_number().over(same)).sortWithinPartitions("conv_id", "turn", "role", "text", "nth")
+    return ordered.select(
         "conv_id", "turn", "gone", kind.cast("int").alias("kind"), fault.cast("int").alias("fault"), "role", "text"
     )
-    return judged.sortWithinPartitions("conv_id", "turn", "role", "text")
 
 
 def audits(

@@ -206,9 +206,9 @@ ORACLE: dict[str, str] = {
                   FROM conversations, crc)
         ),
         turns AS (
-            SELECT conv_id, turn, role, text, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) AS nth,
-                   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place
-            FROM (FROM damaged WHERE damage > 0 UNION ALL FROM damaged WHERE damage = 3)
+            SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, nth) AS place
+            FROM (SELECT conv_id, turn, role, text, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) AS nth
+                  FROM (FROM damaged WHERE damage > 0 UNION ALL FROM damaged WHERE damage = 3))
         ),
         judged AS (
             SELECT *, CASE WHEN ending = '' THEN 1 WHEN nth > 1 THEN 2 WHEN right(ending, 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault,
