@@ -19,6 +19,7 @@ from corpusmill.llm import (
     quality,
     secrets,
     simhash,
+    spelling_variants,
     token_counts,
 )
 from corpusmill.llm.common import sha256_hex
@@ -104,11 +105,16 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.audits(turns, gone=gone).drop("n_turns")
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.spelling_variants(_table(spark, sf_dir, "documents"), typo_every=199)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_token_counts, op2_line_dedup, op3_exact_top_k, op4_nearest, op5_secrets,
         op6_language_id, op7_byte_bpe, op8_mixture, op9_quality, op10_simhash, op11_conversation_repair,
+        op12_spelling_variants,
     )
 }
 
@@ -272,4 +278,53 @@ ORACLE: dict[str, str] = {
         FROM (SELECT DISTINCT conv_id FROM conversations) d
         LEFT JOIN counted c ON d.conv_id IS NOT DISTINCT FROM c.conv_id
         LEFT JOIN best ON d.conv_id IS NOT DISTINCT FROM best.conv_id""",
+    "op12_spelling_variants": r"""
+        WITH crc AS (
+            SELECT list_transform(range(256), lambda n: list_reduce(range(8), lambda c, _:
+                CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, n::BIGINT)) AS t
+        ),
+        runs AS (
+            SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+            FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{00C0}-\x{00FF}]+')) AS run FROM documents)
+            GROUP BY ALL
+        ),
+        hashed AS (
+            SELECT run, n, xor(list_reduce(
+                flatten(list_transform(string_split(coalesce(doc_id::VARCHAR, '') || ':' || run, ''),
+                        lambda x: CASE WHEN ord(x) < 128 THEN [ord(x)] ELSE [192 | (ord(x) >> 6), 128 | (ord(x) & 63)] END)),
+                lambda c, x: xor(crc.t[(xor(c, x) & 255) + 1], c >> 8), 4294967295), 4294967295) AS h
+            FROM runs, crc
+        ),
+        words AS (
+            SELECT word, sum(n)::BIGINT AS n
+            FROM (SELECT CASE WHEN h % 199 = 0 THEN left(run, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2)
+                              ELSE run END AS word, n FROM hashed)
+            WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5
+        ),
+        cut AS (
+            SELECT word, n, left(word, (i - 1)::INT) AS head, substr(word, (i + 1)::INT) AS tail
+            FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+        ),
+        near AS (
+            SELECT a.word, b.word AS other, b.n AS other_n
+            FROM cut a JOIN cut b ON a.head = b.head AND a.tail = b.tail AND a.word <> b.word
+            UNION SELECT a.word, b.word, b.n FROM cut a JOIN words b ON a.head || a.tail = b.word
+            UNION SELECT b.word, a.word, a.n FROM cut a JOIN words b ON a.head || a.tail = b.word
+        ),
+        judged AS (
+            SELECT w.word, w.n, coalesce(m.n_near, 0) AS n_near,
+                   CASE WHEN -m.best.n >= 5 * w.n THEN m.best.word END AS form, CASE WHEN -m.best.n >= 5 * w.n THEN -m.best.n END AS form_n
+            FROM words w LEFT JOIN (
+                SELECT word, count(*) AS n_near, min({'n': -other_n, 'word': other}) AS best FROM near GROUP BY word
+            ) m ON w.word = m.word
+        ),
+        followed AS (
+            WITH RECURSIVE f AS (
+                SELECT word, word AS root, form AS next FROM judged
+                UNION ALL
+                SELECT f.word, f.next, j.form FROM f JOIN judged j ON f.next = j.word
+            )
+            SELECT word, root FROM f WHERE next IS NULL
+        )
+        SELECT j.word, form, root, n, n_near, form_n FROM judged j JOIN followed f ON j.word = f.word""",
 }
