@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from corpusmill.llm import (
     byte_bpe,
     conversation_repair,
+    html_extraction,
     kd_search,
     language_id,
     line_dedup,
@@ -109,12 +110,18 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants.spelling_variants(_table(spark, sf_dir, "documents"), typo_every=199)
 
 
+def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    found = html_extraction.extract(pages, html_extraction.train())
+    return found.select("page.page_id", "page.url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_token_counts, op2_line_dedup, op3_exact_top_k, op4_nearest, op5_secrets,
         op6_language_id, op7_byte_bpe, op8_mixture, op9_quality, op10_simhash, op11_conversation_repair,
-        op12_spelling_variants,
+        op12_spelling_variants, op13_html_extraction,
     )
 }
 
