@@ -17,7 +17,7 @@ SILENT = RAW | frozenset("template object svg math canvas select option datalist
 HEAD = frozenset("title meta link base style script noscript template".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q ruby rb rt rp s samp small span "
-    "strike strong sub sup time tt u var wbr br input button select textarea".split()
+    "strike strong sub sup time tt u var wbr br input button select option optgroup textarea".split()
 )
 # What a start tag ends, up to the element that holds the list.
 ENDS = {

@@ -126,6 +126,6 @@ def test_odd_rows(spark):
 
 
 def test_training_on_given_labelled_pages():
-    labelled = [f'<body><div class="zz">{"menu " * n}</div><div class="qq" data-main="1"><p>{"prose " * n}</p></div></body>' for n in range(2, 30)]
+    labelled = [f'<body><div class="zz"><p>{"menu " * n}</p></div><div class="qq" data-main="1"><p>{"prose " * n}</p></div></body>' for n in range(2, 30)]
     page = Page('<body><div class="zz"><p>some words here</p></div><div class="qq"><p>other words here</p></div></body>')
     assert E.main_text(page, E.train(labelled).probabilities([page])[0]) == "other words here"
