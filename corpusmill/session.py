@@ -44,7 +44,12 @@ def local_session(cores: int | str = "*", memory: str = "4g", shuffle_partitions
 
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A new folder name below the shared folder that ``spark.checkpoint.dir`` names.
+    """A new folder name below the shared folder (:func:`shared_dir`)."""
+    return f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The shared folder that ``spark.checkpoint.dir`` names.
 
     Staged tables must be visible to every executor and outlive any of them, so a
     machine-local folder is accepted only when the whole application is one JVM.
@@ -58,7 +63,7 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
             _local_scratch = tempfile.mkdtemp(prefix="corpusmill-")
             atexit.register(shutil.rmtree, _local_scratch, ignore_errors=True)
         base = _local_scratch
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    return base.rstrip("/")
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
