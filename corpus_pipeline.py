@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import byte_bpe, language_id, line_dedup, mixing, similar_texts
+from corpusmill.llm import byte_bpe, language_id, line_dedup, mixing, simhash
 from corpusmill.llm.common import stage
 from corpusmill.llm.suite import BYTE_RANKS
 
@@ -38,11 +38,10 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group: the one with the smallest id.
 
-    Near duplicates share four fifths of their five-word shingles, which most show in more fingerprint bits than SimHash
-    keys can reach: all such pairs are found by a set join. Texts without a word are alike, but no document's copy: what
-    line dedup emptied is dropped by its own rule.
+    Groups are those of SimHash fingerprints of three-word shingles at two bits or fewer. Texts without a word, such as
+    what line dedup emptied, are one group.
     """
-    return similar_texts.first_of_each(docs, similar_texts.similar_groups(docs))
+    return simhash.one_of_each(docs, shingle_words=simhash.SHINGLE_WORDS, max_bits=simhash.MAX_BITS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

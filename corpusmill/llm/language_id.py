@@ -4,8 +4,10 @@ A word the model knows is scored by its log frequency in each language. A word i
 n-grams: the longest order of which it knows any, else the next shorter. A text's language is the one with the highest
 sum over its words and the language's own log frequency.
 
-The tables are counted by Spark over a bounded sample of labelled documents, pruned to a bounded number of entries, and
-travel to the tasks, each of which remembers the scores of the words it met.
+The tables are counted by Spark over a bounded sample of labelled documents of every language. Of each language and order
+they keep the entries that make up all but a stated share of its occurrences, so a rare language loses no more than a
+frequent one; their size is bounded by that of the sample. They travel to the tasks, each of which remembers the scores
+of the words it met.
 """
 
 from __future__ import annotations
@@ -17,17 +19,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.llm.common import stage
 from corpusmill.llm.token_counts import PIECE_CHARS, cut_at_spaces
 
 UNDETERMINED = "und"
-#: Documents to learn from, about: a fixed share of the labelled ones, drawn by a hash of the id.
-TRAIN_DOCS = 20_000
-#: Entries (word or n-gram, language) the model keeps, the most frequent ones first.
-MAX_WORDS, MAX_GRAMS = 60_000, 100_000
+#: Documents to learn from, about, and of each language at least (all of them, if it has fewer), drawn by a hash of the id.
+TRAIN_DOCS, LANGUAGE_DOCS = 20_000, 500
+#: Share of a language's occurrences that rare entries of an order may take with them when they are left out.
+LOSS = 0.02
 ORDERS = (4, 3, 2, 1)
 MEMO_WORDS = 300_000
 _WORD = re.compile(r"[^\W\d_]+")
@@ -83,13 +85,25 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from drained()
 
 
+@dataclass
+class Table:
+    """Log frequencies by language: a row of ``scores`` per gram."""
+
+    rows: dict[str, int]
+    scores: np.ndarray
+
+    def get(self, gram: str) -> np.ndarray | None:
+        row = self.rows.get(gram)
+        return None if row is None else self.scores[row]
+
+
 @dataclass
 class Model:
-    """Log frequencies by language: ``tables[order][gram]`` is a row of the scores, order 0 holding whole words."""
+    """``tables`` by order of n-gram, order 0 holding whole words."""
 
     languages: list[str]
     prior: np.ndarray
-    tables: dict[int, dict[str, np.ndarray]]
+    tables: dict[int, Table]
 
     def word_scores(self, word: str) -> np.ndarray:
         known = self.tables[0].get(word)
@@ -102,43 +116,64 @@ class Model:
         return np.zeros(len(self.languages))
 
 
+def drawn_documents(rows: DataFrame, max_docs: int, language_docs: int) -> DataFrame:
+    """A share of ``doc_id, text, lang`` by a hash of the id: of each language the common share, or more if that is few."""
+    sizes = rows.groupBy("lang").count()
+    total = max(1, rows.count())
+    share = F.greatest(F.lit(max_docs / total), F.lit(language_docs) / F.col("count"))
+    limits = sizes.select(F.col("lang").alias("_lang"), F.least(F.lit(1 << 20), F.ceil(share * (1 << 20))).alias("_limit"))
+    drawn = rows.join(F.broadcast(limits), F.col("lang") == F.col("_lang"))  # a row per language
+    return drawn.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.col("_limit")).select("text", "lang")
+
+
+def rare_limits(counts: DataFrame, loss: float) -> DataFrame:
+    """``grams, lang, least``: the count from which entries are kept, those below being ``loss`` of the occurrences at most."""
+    sizes = counts.groupBy("grams", "lang", "n").agg(F.sum("n").alias("occurrences"))
+    key = Window.partitionBy("grams", "lang")
+    upto = F.sum("occurrences").over(key.orderBy("n"))
+    lost = sizes.withColumn("lost", upto <= F.lit(loss) * F.sum("occurrences").over(key))
+    return lost.groupBy("grams", "lang").agg(F.coalesce(F.max(F.when(F.col("lost"), F.col("n"))), F.lit(0)).alias("least"))
+
+
 def train(
     docs: DataFrame,
     lang_col: str = "lang",
     id_col: str = "doc_id",
     text_col: str = "text",
     max_docs: int = TRAIN_DOCS,
-    max_words: int = MAX_WORDS,
-    max_grams: int = MAX_GRAMS,
+    language_docs: int = LANGUAGE_DOCS,
+    loss: float = LOSS,
 ) -> Model:
-    """Learn from the rows that have a language and a text; of more than ``max_docs`` a hash of the id draws a share."""
+    """Learn from the rows that have a language and a text.
+
+    Of more than ``max_docs`` a hash of the id draws a share, of each language ``language_docs`` at least if it has them.
+    """
     rows = docs.select(
         F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")
     ).where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    share = min(1.0, max_docs / max(1, rows.count()))
-    drawn = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
-    counted = drawn.select("text", "lang").mapInArrow(_count, _COUNTS_SCHEMA).groupBy("grams", "gram", "lang")
+    drawn = drawn_documents(rows, max_docs, language_docs)
+    counted = drawn.mapInArrow(_count, _COUNTS_SCHEMA).groupBy("grams", "gram", "lang")
     counts = stage(counted.agg(F.sum("n").alias("n")), "language-counts")
     totals = {(r["grams"], r["lang"]): (r["n"], r["kinds"]) for r in counts.groupBy("grams", "lang").agg(
         F.sum("n").alias("n"), F.count(F.lit(1)).alias("kinds")).collect()}
-    frequent = [F.desc("n"), "grams", "gram", "lang"]
-    kept = []
-    for which, most in (("grams = 0", max_words), ("grams > 0", max_grams)):
-        # staged, the entries meet in a task; collected at once, every partition would send the driver as many
-        kept += stage(counts.where(which).orderBy(*frequent).limit(most), "language-entries").collect()
+    limits = F.broadcast(rare_limits(counts, loss))  # a row per order and language
+    kept = counts.where("grams >= 0").join(limits, ["grams", "lang"]).where("n > least").select("grams", "gram", "lang", "n")
 
     languages = sorted({lang for order, lang in totals if order == -1})
     place = {lang: n for n, lang in enumerate(languages)}
     seen = np.array([totals[-1, lang][0] for lang in languages], float)
-    tables: dict[int, dict[str, np.ndarray]] = {order: {} for order in (0, *ORDERS)}
-    for row in kept:
-        counted = tables[row["grams"]].setdefault(row["gram"], np.zeros(len(languages)))
-        counted[place[row["lang"]]] = row["n"]
-    for order, table in tables.items():
+    entries: dict[int, list] = {order: [] for order in (0, *ORDERS)}
+    for row in kept.collect():
+        entries[row["grams"]].append((row["gram"], place[row["lang"]], row["n"]))
+    tables = {}
+    for order, found in entries.items():
+        rows_of = {gram: n for n, gram in enumerate(sorted({gram for gram, _, _ in found}))}
+        counted = np.zeros((len(rows_of), len(languages)))
+        for gram, lang, n in found:
+            counted[rows_of[gram], lang] = n
         size = np.array([totals.get((order, lang), (0, 0))[0] for lang in languages], float)
         kinds = max([totals.get((order, lang), (0, 0))[1] for lang in languages], default=0)
-        for gram, counted in table.items():
-            table[gram] = np.log((counted + 0.5) / (size + 0.5 * kinds + 1))
+        tables[order] = Table(rows_of, np.log((counted + 0.5) / (size + 0.5 * kinds + 1)))
     return Model(languages, np.log(seen / seen.sum()) if languages else seen, tables)
 
 
@@ -184,6 +219,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
     """``doc, found``: every row as a struct, and the predicted ``lang`` and its ``score`` from 0 to 1.
 
     ``und`` with score 0 where the text is NULL or has no letter, or no language was learned. Ties go to the language
-    that sorts first. The columns of ``docs`` travel in the struct, whatever their names; only the text is looked at.
+    that sorts first. Very long texts are read piece by piece, repeated rows come back each. The columns of ``docs`` travel
+    in the struct, whatever their names; only the text is looked at.
     """
     return docs.select(F.struct("*").alias("doc"), predictor(model)(F.col(text_col)).alias("found"))

@@ -58,16 +58,20 @@ def _fingerprints(shingle_words: int):
         for batch in batches:
             prints = [fingerprint(text, shingle_words) for text in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(prints, pa.int64())], names=["doc_id", "fp"]
+                [batch.column("doc_id"), pa.array(prints, pa.int64()), batch.column("place")], names=["doc_id", "fp", "place"]
             )
 
     return run
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = SHINGLE_WORDS):
-    """``doc_id, fp`` of every row; NULL and wordless texts have the fingerprint 0."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), utf8(text_col).alias("text"))
-    return rows.mapInArrow(_fingerprints(shingle_words), "doc_id long, fp long")
+    """``doc_id, fp, place`` of every row; NULL and wordless texts have the fingerprint 0. ``place`` hashes the text."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), utf8(text_col).alias("text"), _place(text_col).alias("place"))
+    return rows.mapInArrow(_fingerprints(shingle_words), "doc_id long, fp long, place long")
+
+
+def _place(text_col: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
 
 
 def _half(fp: Column, number: int) -> Column:
@@ -84,7 +88,7 @@ def _variants(prints: DataFrame) -> DataFrame:
     return prints.select("fp", F.explode(F.array(*keys)).alias("key"))
 
 
-def _close(a: Column, b: Column, key: Column, cell: Column) -> Column:
+def _close(a: Column, b: Column, key: Column, cell: Column, max_bits: int) -> Column:
     """True for a pair within reach, at the first key and the first cell that it shares, so a pair comes out once."""
     apart = a.bitwiseXOR(b)
     low, high = _half(apart, 0), _half(apart, 1)
@@ -96,14 +100,16 @@ def _close(a: Column, b: Column, key: Column, cell: Column) -> Column:
     thirds = [F.shiftrightunsigned(half, 11 * n).bitwiseAND(F.lit(0x7FF)) for n in range(2)]
     first_cell = F.when(thirds[0] == 0, 0).when(thirds[1] == 0, 1).otherwise(2)
     return (
-        (F.bit_count(apart) <= MAX_BITS)
+        (F.bit_count(apart) <= max_bits)
         & (F.shiftrightunsigned(key, 32) == first_key)
         & (F.shiftrightunsigned(cell, 11) == first_cell)
     )
 
 
-def links(prints: DataFrame) -> DataFrame:
-    """All pairs ``(a, b)``, a < b, of the distinct fingerprints ``fp`` that differ in one or two bits."""
+def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """All pairs ``(a, b)``, a < b, of the distinct fingerprints ``fp`` that differ in ``max_bits`` bits or fewer."""
+    if not 0 <= max_bits <= MAX_BITS:
+        raise ValueError(f"halves with one bit left out reach {MAX_BITS} bits, not {max_bits}")
     spark = prints.sparkSession
     spread = stage(prints.select("fp").repartition(shuffle_partitions(spark)), "fingerprints")
     # few keys are met twice: only their members go on
@@ -123,41 +129,70 @@ def links(prints: DataFrame) -> DataFrame:
     cells = stage(members.select("key", "fp", F.explode(F.array(*thirds)).alias("cell")), "variant-cells")
     same_cell = (F.col("l.key") == F.col("r.key")) & (F.col("l.cell") == F.col("r.cell")) & (F.col("l.fp") < F.col("r.fp"))
     close = cells.alias("l").join(
-        cells.alias("r"), same_cell & _close(F.col("l.fp"), F.col("r.fp"), F.col("l.key"), F.col("l.cell"))
+        cells.alias("r"), same_cell & _close(F.col("l.fp"), F.col("r.fp"), F.col("l.key"), F.col("l.cell"), max_bits)
     )
     return close.select(F.col("l.fp").alias("a"), F.col("r.fp").alias("b"))
 
 
-def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = SHINGLE_WORDS
-) -> DataFrame:
-    """``doc_id, fingerprint, component_id`` of every row; components are named by their smallest document id.
-
-    Texts whose fingerprints differ in at most two bits are linked, copies included; components are the transitive
-    closure. NULL, empty and wordless texts share the fingerprint 0 and link like any other. Repeated rows come back
-    each. A row without id takes part, and is named by the smallest id it reaches (NULL if there is none). Other
-    columns of ``docs`` are not read.
-    """
-    prints = stage(fingerprints(docs, id_col, text_col, shingle_words), "document-fingerprints")
+def _components(prints: DataFrame, max_bits: int) -> DataFrame:
+    """``fp, component, component_id`` of the distinct fingerprints: the class, and its smallest document id."""
     classes = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "fingerprint-classes")
-    grouped = components(links(classes))
-    # a component's name: the smallest id among its fingerprints' smallest ids
+    grouped = components(links(classes, max_bits))
     member = classes.join(grouped, classes.fp == grouped.node, "left").select(
         "fp", "first_id", F.coalesce("component", "fp").alias("component")
     )
     member = stage(member, "fingerprint-components")
     names = stage(member.groupBy("component").agg(F.min("first_id").alias("component_id")), "component-names")
-    named = stage(member.join(names, "component").select("fp", "component_id"), "named-fingerprints")
+    return stage(member.join(names, "component").select("fp", "component", "component_id"), "named-fingerprints")
+
+
+def near_duplicates(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle_words: int = SHINGLE_WORDS,
+    max_bits: int = MAX_BITS,
+) -> DataFrame:
+    """``doc_id, fingerprint, component_id`` of every row; components are named by their smallest document id.
+
+    Texts whose fingerprints differ in ``max_bits`` bits or fewer are linked, copies included; components are the
+    transitive closure. NULL, empty and wordless texts share the fingerprint 0 and link like any other; very long texts
+    are hashed block by block. Repeated rows come back each. A row without id takes part, and is named by the smallest
+    id it reaches (NULL if there is none). Other columns of ``docs`` are not read.
+    """
+    prints = stage(fingerprints(docs, id_col, text_col, shingle_words), "document-fingerprints")
     # one fingerprint may be that of a third of all documents: both sides are plain shuffles, so AQE can split it
-    return prints.join(named, "fp").select(
+    return prints.join(_components(prints, max_bits), "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
-def first_of_each(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` that name their group, one for each id; rows without id cannot be named and stay."""
-    chosen = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    kept = docs.alias("d").join(
-        chosen.alias("c").hint("shuffle_hash"), F.col(f"d.{id_col}") == F.col("c.doc_id"), "left_semi"
-    )
-    return kept.dropDuplicates([id_col]).unionByName(docs.where(F.col(id_col).isNull()))
+def one_of_each(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle_words: int = SHINGLE_WORDS,
+    max_bits: int = MAX_BITS,
+) -> DataFrame:
+    """The rows of ``docs`` without near duplicates: of each component the row of the smallest id, then text hash.
+
+    Rows without id come last, so a component of such rows keeps one of them. Of rows that repeat id and text one stays.
+    All columns come back as they are.
+    """
+    prints = stage(fingerprints(docs, id_col, text_col, shingle_words), "document-fingerprints")
+    own = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "place")
+    first = prints.join(_components(prints, max_bits), "fp").groupBy("component").agg(F.min(own).alias("first"))
+    chosen = stage(first.select("first.*"), "one-of-each")
+    places = prints.groupBy("doc_id", "place").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("doc_id", "place")
+
+    def rows_of(wanted: DataFrame) -> DataFrame:
+        here = F.col(f"d.{id_col}").cast("long").eqNullSafe(F.col("c.doc_id")) & (_place(f"d.{text_col}") == F.col("c.place"))
+        return docs.alias("d").join(wanted.alias("c").hint("shuffle_hash"), here, "left_semi")
+
+    same = F.col("c.doc_id").eqNullSafe(F.col("p.doc_id")) & (F.col("c.place") == F.col("p.place"))
+    repeated = stage(chosen.alias("c").join(places.alias("p"), same, "left_semi"), "repeated-rows")
+    if repeated.isEmpty():
+        return rows_of(chosen)
+    single = chosen.alias("c").join(repeated.alias("p"), same, "left_anti")
+    # only rows that repeat are sorted
+    return rows_of(single).unionByName(rows_of(repeated).dropDuplicates([id_col, text_col]))

@@ -24,7 +24,7 @@ from corpusmill.llm import (
     token_counts,
 )
 from corpusmill.llm.common import sha256_hex
-from corpusmill.session import scratch_dir
+from corpusmill.session import shared_dir
 
 TOKEN_LIMIT = 2048
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -37,7 +37,9 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(WORD_TOKENIZER)
-    counts = token_counts.token_counts(_table(spark, sf_dir, "documents"), path, scratch_dir(spark, "token-cache"))
+    # one cache for all runs of a cluster: counts are keyed by content, whatever table it stands in
+    cache = f"{shared_dir(spark)}/token-counts"
+    counts = token_counts.token_counts(_table(spark, sf_dir, "documents"), path, cache)
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 

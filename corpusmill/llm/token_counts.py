@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.llm.common import stage
 
-CACHE_SCHEMA = "digest binary, n_tokens long, tokenizer string"
+CACHE_SCHEMA = "digest binary, n_tokens long"
 # Longer texts are encoded in pieces cut at a space, where no token can reach across.
 PIECE_CHARS = 1 << 20
 # Distinct words whose counts a task remembers before it starts afresh.
@@ -131,11 +131,21 @@ def _encoder(path: str):
     return encode
 
 
-def cached_counts(spark: SparkSession, cache_path: str, version: str) -> DataFrame:
-    """Counts stored under one tokenizer version; a digest that two runs appended counts once."""
-    spark.createDataFrame([], CACHE_SCHEMA).write.mode("append").parquet(cache_path)  # an empty cache is a cache
-    stored = spark.read.schema(CACHE_SCHEMA).parquet(cache_path)
-    return stored.where(F.col("tokenizer") == version).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
+def cached_counts(spark: SparkSession, cache_path: str, version: str, digests: DataFrame) -> DataFrame:
+    """``digest, n_tokens`` stored for some digests under one tokenizer version; what two runs appended counts once.
+
+    A cache grows with all runs: only the digests asked for go on to the aggregation.
+    """
+    stored = spark.read.schema(CACHE_SCHEMA).parquet(version_path(spark, cache_path, version))
+    return stored.join(digests, "digest", "left_semi").groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
+
+
+def version_path(spark: SparkSession, cache_path: str, version: str) -> str:
+    """The folder of one tokenizer version in the cache: runs with other tokenizers never read it."""
+    path = f"{cache_path.rstrip('/')}/tokenizer={version}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+    return path
 
 
 def token_counts(
@@ -143,8 +153,9 @@ def token_counts(
 ) -> DataFrame:
     """``doc_id, n_bytes, n_tokens`` of every row, counted without begin, end or added special tokens.
 
-    A NULL or empty text has 0 bytes and 0 tokens. Repeated rows each come back; a NULL id stays NULL. Other columns
-    of ``docs`` are not read, so their names do not matter.
+    ``cache_path`` names a folder that later runs find again: what they know is not encoded anew. A NULL or empty text has
+    0 bytes and 0 tokens. Repeated rows each come back; a NULL id stays NULL; very long texts are encoded in pieces. Other
+    columns of ``docs`` are not read, so their names do not matter.
     """
     spark = docs.sparkSession
     version = tokenizer_version(tokenizer_path)
@@ -156,7 +167,8 @@ def token_counts(
     # digests are a few bytes a document: staged, they spare another pass over the texts
     digests = stage(texts.select("doc_id", "place", n_bytes, digest), "token-digests")
 
-    known = cached_counts(spark, cache_path, version)
+    mine = stage(digests.select("digest").distinct(), "token-keys")
+    known = cached_counts(spark, cache_path, version, mine)
     first = F.min(F.struct("doc_id", "place")).alias("first")
     misses = digests.groupBy("digest").agg(first).join(known, "digest", "left_anti").select("digest", "first.*")
     # the texts stream past hash tables of ids: they are neither sorted nor spilled
@@ -167,8 +179,6 @@ def token_counts(
     fresh = wanted.select("m.digest", "t.text").mapInArrow(
         _encoder(tokenizer_path), "digest binary, n_tokens long"
     )
-    fresh.withColumn("tokenizer", F.lit(version)).write.mode("append").parquet(cache_path)
-
-    counts = cached_counts(spark, cache_path, version).join(digests.select("digest").distinct(), "digest", "left_semi")
+    fresh.write.mode("append").parquet(version_path(spark, cache_path, version))
     # many documents may share a digest: between staged tables both sides are plain shuffles, so AQE can split a hot one
-    return digests.join(stage(counts, "token-counts"), "digest").select("doc_id", "n_bytes", "n_tokens")
+    return digests.join(stage(cached_counts(spark, cache_path, version, mine), "token-counts"), "digest").select("doc_id", "n_bytes", "n_tokens")

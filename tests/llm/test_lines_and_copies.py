@@ -116,7 +116,7 @@ def test_planted_copies(spark):
 
 def test_no_documents(make_docs):
     assert simhash.near_duplicates(make_docs([])).collect() == []
-    assert simhash.first_of_each(make_docs([]), simhash.near_duplicates(make_docs([]))).collect() == []
+    assert simhash.one_of_each(make_docs([])).collect() == []
 
 
 def test_links_of_crowded_keys(spark):
@@ -153,7 +153,20 @@ def test_components_of_chains_stars_and_rings(spark):
 def test_one_of_each_group_stays(make_docs):
     text = "the same words come again and again in this little text about nothing at all"
     docs = make_docs([(4, text, "en", "a"), (2, text, "en", "b"), (2, text, "en", "b"), (3, text.upper(), "en", "a"),
-                      (8, "something else entirely, with other words in it", "en", "a"), (None, text, "en", "a")])
-    kept = simhash.first_of_each(docs, simhash.near_duplicates(docs))
+                      (8, "something else entirely, with other words in it", "en", "a"), (None, text, "en", "a"), (None, "without id, but twice the same text", "en", "a"),
+                      (None, "without id, but twice the same text", "en", "a"), (9, "one id and", "en", "a"), (9, "two texts of it", "en", "a")])
+    kept = simhash.one_of_each(docs)
     assert kept.columns == docs.columns
-    assert sorted((r["doc_id"] is None, r["doc_id"]) for r in kept.collect()) == [(False, 2), (False, 8), (True, None)]
+    found = sorted((r["doc_id"] is None, r["doc_id"], r["text"]) for r in kept.collect())
+    assert found == [
+        (False, 2, text), (False, 8, "something else entirely, with other words in it"), (False, 9, "one id and"),
+        (False, 9, "two texts of it"), (True, None, "without id, but twice the same text"),
+    ]
+
+
+def test_fewer_bits_link_less(spark):
+    prints = spark.createDataFrame([(0,), (1,), (3,), (-1,)], "fp long")
+    assert sorted(map(tuple, simhash.links(prints, 1).collect())) == [(0, 1), (1, 3)]
+    assert simhash.links(prints, 0).collect() == []
+    with pytest.raises(ValueError):
+        simhash.links(prints, 3)

@@ -127,10 +127,10 @@ def test_language_by_plain_scoring(spark, held_out):
 
 def test_word_first_then_shorter_grams(held_out):
     model = held_out[0]
-    assert model.word_scores("the") is model.tables[0]["the"]
+    assert (model.word_scores("the") == model.tables[0].get("the")).all()
     unseen = "thewhthe" * 3
-    assert unseen not in model.tables[0]
-    rows = [model.tables[4][g] for g in language_id.grams_of(unseen, 4) if g in model.tables[4]]
+    assert unseen not in model.tables[0].rows
+    rows = [model.tables[4].get(g) for g in language_id.grams_of(unseen, 4) if g in model.tables[4].rows]
     assert rows and np.allclose(model.word_scores(unseen), np.mean(rows, axis=0))
     assert not model.word_scores("漢").any()
 
@@ -146,10 +146,30 @@ def test_languages_of_messy_documents(make_docs, messy_docs, held_out):
     assert model.languages == ["de", "en", "xx"]
 
 
-def test_training_is_bounded(spark):
-    docs = spark.read.parquet(DOCS)
-    model = language_id.train(docs, max_docs=100, max_words=50, max_grams=200)
-    assert sum(len(t) for n, t in model.tables.items() if n) <= 200 and len(model.tables[0]) <= 50
+def test_sample_is_bounded_but_takes_every_language(make_docs):
+    rng = np.random.default_rng(4)
+    rows = [(n, " ".join(rng.choice(["alpha", "beta", "gamma", "delta"], 30)), "en", "a") for n in range(3000)]
+    rows += [(5000 + n, " ".join(rng.choice(["uno", "dos", "tres", "cuatro"], 30)), "xx", "a") for n in range(20)]
+    docs = make_docs(rows)
+    drawn = language_id.drawn_documents(docs.select("doc_id", "text", "lang"), 100, 20).groupBy("lang").count().collect()
+    sizes = {r["lang"]: r["count"] for r in drawn}
+    assert sizes["xx"] == 20 and 60 <= sizes["en"] <= 150
+    model = language_id.train(docs, max_docs=100, language_docs=20)
+    found = language_id.identify(make_docs([(1, "dos tres cuatr", None, None), (2, "gamma delt", None, None)]), model).collect()
+    assert [r["found"]["lang"] for r in found] == ["xx", "en"]
+
+
+@pytest.mark.parametrize("loss", [0.0, 0.02, 0.3])
+def test_rare_entries_go_by_their_share_in_each_language(spark, loss):
+    rng = np.random.default_rng(5)
+    rows = [(g, f"w{n}", lang, int(c)) for g in (0, 4) for lang, top in (("a", 1000), ("b", 9)) for n, c in enumerate(rng.zipf(1.5, 300).clip(1, top))]
+    counts = spark.createDataFrame(rows, "grams int, gram string, lang string, n long")
+    limits = {(r["grams"], r["lang"]): r["least"] for r in language_id.rare_limits(counts, loss).collect()}
+    for (grams, lang), least in limits.items():
+        own = sorted(n for g, _, x, n in rows if (g, x) == (grams, lang))
+        assert sum(n for n in own if n <= least) <= loss * sum(own)
+        following = min((n for n in own if n > least), default=None)
+        assert following is None or sum(n for n in own if n <= following) > loss * sum(own)
 
 
 def plain_features(text):

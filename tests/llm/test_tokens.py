@@ -4,6 +4,7 @@ import random
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from corpusmill.llm import byte_bpe, token_counts
 from corpusmill.session import scratch_dir
@@ -68,17 +69,34 @@ def test_normal_form_keeps_the_count(spark, library):
 
 
 def test_cache_is_used_and_filled(spark, make_docs):
-    cache = scratch_dir(spark, "cache")
-    docs = make_docs([(1, "one two", "en", "a"), (2, "ONE  two", "en", "a"), (3, "three", "en", "a")])
+    cache, version = scratch_dir(spark, "cache"), token_counts.tokenizer_version(WORDS)
+    docs = make_docs([(1, "one two", "en", "a"), (2, "ONE  two ", "en", "a"), (3, "three", "en", "a")])
+
+    def stored(of=version):
+        return spark.read.schema(token_counts.CACHE_SCHEMA).parquet(f"{cache}/tokenizer={of}")
+
     first = token_counts.token_counts(docs, WORDS, cache)
-    assert sorted(r["n_tokens"] for r in first.collect()) == [1, 2, 2]
-    stored = spark.read.schema(token_counts.CACHE_SCHEMA).parquet(cache)
-    assert stored.count() == 2  # the two spellings share a digest
+    assert sorted((r["doc_id"], r["n_tokens"]) for r in first.collect()) == [(1, 2), (2, 2), (3, 1)]
+    assert stored().count() == 2  # equal content is encoded once
     token_counts.token_counts(docs, WORDS, cache).count()
-    assert spark.read.schema(token_counts.CACHE_SCHEMA).parquet(cache).count() == 2
-    # another version's counts are not taken
-    spark.createDataFrame([(bytes(r["digest"]), 99, "other") for r in stored.collect()], token_counts.CACHE_SCHEMA).write.mode("append").parquet(cache)
+    assert stored().count() == 2
+    # counts of another tokenizer lie elsewhere, and stored counts are believed
+    stored().select("digest", (F.col("n_tokens") + 97).alias("n_tokens")).write.parquet(f"{cache}/tokenizer=other")
     assert token_counts.token_counts(docs, WORDS, cache).agg({"n_tokens": "max"}).first()[0] == 2
+    stored("other").write.mode("append").parquet(f"{cache}/tokenizer={version}")
+    assert token_counts.token_counts(docs, WORDS, cache).agg({"n_tokens": "max"}).first()[0] == 99
+
+
+def test_second_call_of_the_query_encodes_nothing(spark):
+    from corpusmill.llm import suite
+    from corpusmill.session import shared_dir
+
+    folder = f"{shared_dir(spark)}/token-counts/tokenizer={token_counts.tokenizer_version(WORDS)}"
+    first = {r["doc_id"]: r for r in suite.op1_token_counts(spark, "/root/testdata/sf0.001").collect()}
+    before = spark.read.parquet(folder).count()
+    again = {r["doc_id"]: r for r in suite.op1_token_counts(spark, "/root/testdata/sf0.001").collect()}
+    assert first == again and spark.read.parquet(folder).count() == before > 0
+    assert all(r["over_limit"] == (r["n_tokens"] > 2048) for r in again.values())
 
 
 def test_no_documents(spark, make_docs):
