@@ -13,6 +13,7 @@ from corpusmill.functions import paths as P
 from corpusmill.functions.entities import html_unescape
 from corpusmill.functions.nested import clean, column_of, prune_type
 from corpusmill.functions.scalars import is_blank, same_text
+from corpusmill.operators.shapes import MAX_KEYS, refuse_open_keys
 from corpusmill.operators.types import tolerant_cast
 
 # Field names the records are known to use.
@@ -154,14 +155,18 @@ def _spark_type(dtype: T.DataType) -> T.DataType:
 
 
 def record_schema(
-    records: DataFrame, column: str = "record", map_fields: Iterable[str] = (), json_fields: Iterable[str] = ()
+    records: DataFrame,
+    column: str = "record",
+    map_fields: Iterable[str] = (),
+    json_fields: Iterable[str] = (),
+    max_keys: int = MAX_KEYS,
 ) -> T.StructType:
     """One schema that holds all records: the union of their fields, conflicts widened.
 
     A distributed aggregation; fields without a value in any record are left out. Where some time
     value is no number, the schema also gets a text column for it.
     """
-    return inferred_fields(records, column, map_fields, json_fields)[0]
+    return inferred_fields(records, column, map_fields, json_fields, max_keys)[0]
 
 
 def _without(record: Column, names: Iterable[str]) -> Column:
@@ -174,15 +179,21 @@ def _without(record: Column, names: Iterable[str]) -> Column:
 
 
 def inferred_fields(
-    records: DataFrame, column: str = "record", map_fields: Iterable[str] = (), json_fields: Iterable[str] = ()
+    records: DataFrame,
+    column: str = "record",
+    map_fields: Iterable[str] = (),
+    json_fields: Iterable[str] = (),
+    max_keys: int = MAX_KEYS,
 ) -> tuple[T.StructType, list[str]]:
     """:func:`record_schema`, and the names of the fields it leaves out.
 
     Objects whose keys are data, such as a table of ids, would give the schema a field per key: named in
-    ``map_fields`` they become MAPs of JSON text, in ``json_fields`` JSON text.
+    ``map_fields`` they become MAPs of JSON text, in ``json_fields`` JSON text. One with more than ``max_keys`` keys that
+    is named in neither is an error (:class:`~corpusmill.operators.shapes.OpenKeys`), raised before any schema is built.
     """
     record, keyed = F.col(column), {**dict.fromkeys(map_fields, MAP_TYPE), **dict.fromkeys(json_fields, T.StringType())}
     odd_times = [F.bool_or(_raw_time(record, name).isNotNull()) for name in TIME_FIELDS]
+    refuse_open_keys(records, _without(record, keyed), max_keys)
     inferred = F.schema_of_variant_agg(_without(record, keyed))
     found, *odd = records.agg(inferred, *odd_times).first()
     if not found or not found.startswith("OBJECT<"):

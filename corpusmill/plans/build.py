@@ -26,6 +26,7 @@ from corpusmill.operators.records import (
     record_schema,
     typed_records,
 )
+from corpusmill.operators.shapes import MAX_KEYS
 from corpusmill.operators.types import align_to_schema
 from corpusmill.session import delete_path, prepare, scratch_dir
 from corpusmill.sinks.write import parquet_codec, spread_for_write, write_parquet, write_report
@@ -76,12 +77,14 @@ def build_topic(
     rows_per_group: int = 0,
     map_fields: Iterable[str] = (),
     json_fields: Iterable[str] = (),
+    max_keys: int = MAX_KEYS,
 ) -> BuildResult:
     """Keep the records of one topic from all dumps below a folder.
 
     The dumps are read and parsed once. That pass stages the matches, and for other lines no more than the file they
     are from, in a folder per status; counters, schema and result are then computed from the staged table. With
-    ``schema_from`` no schema is inferred. The report is written also when the run fails; it and the result must not
+    ``schema_from`` no schema is inferred; without it, objects with more than ``max_keys`` keys must be named in
+    ``map_fields`` or ``json_fields``. The report is written also when the run fails; it and the result must not
     lie below the input, where the next run would read them.
     """
     prepare(spark)
@@ -126,7 +129,7 @@ def build_topic(
         if totals.matched:
             records = lines.filter(F.col("status") == MATCH).select("path", "record")
             if target is None:
-                schema, dropped = inferred_fields(records, "record", map_fields, json_fields)
+                schema, dropped = inferred_fields(records, "record", map_fields, json_fields, max_keys)
                 result = typed_records(records, schema)
             else:
                 result = align_to_schema(typed_records(records, target), target)
@@ -229,6 +232,7 @@ def topic_table(
     schema: T.StructType | None = None,
     map_fields: Iterable[str] = (),
     json_fields: Iterable[str] = (),
+    max_keys: int = MAX_KEYS,
 ) -> DataFrame:
     """The typed, normalised records of ``classify_lines`` output, as a DataFrame.
 
@@ -241,4 +245,4 @@ def topic_table(
     folder = scratch_dir(df.sparkSession, "topic-records")
     records.write.parquet(folder)
     records = df.sparkSession.read.schema(records.schema).parquet(folder)
-    return typed_records(records, record_schema(records, "record", map_fields, json_fields))
+    return typed_records(records, record_schema(records, "record", map_fields, json_fields, max_keys))

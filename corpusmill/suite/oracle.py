@@ -51,6 +51,14 @@ ORACLE = {
     "id_keyed_objects": """
         SELECT event_id, CAST(event_id AS VARCHAR) AS key, CAST(user_id AS VARCHAR) AS "user", replace(props, ' ', '') AS props,
                CAST(7 AS BIGINT) AS columns FROM events""",
+    "open_object_keys": """
+        WITH k AS (
+            SELECT '$' AS path, unnest(['status', 'by_order', 'meta']) AS key FROM orders
+            UNION ALL SELECT '$.by_order', CAST(o_orderkey AS VARCHAR) FROM orders
+            UNION ALL SELECT '$.meta', unnest(['by_day', 'list']) FROM orders
+            UNION ALL SELECT '$.meta.by_day', strftime(o_orderdate, '%a') FROM orders
+            UNION ALL SELECT '$.meta.list[]', left(o_orderpriority, 1) FROM orders)
+        SELECT path, min(key) AS first_key, max(key) AS last_key, count(DISTINCT key) > 100 AS is_open FROM k GROUP BY path""",
     "column_types": """
         SELECT CAST(ordinal_position - 1 AS INTEGER) AS ordinal, column_name AS "column",
                CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'

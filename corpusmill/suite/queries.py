@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusmill.functions import entities, nested, paths, scalars
-from corpusmill.operators import corpus, profile, records, union
+from corpusmill.operators import corpus, profile, records, shapes, union
 from corpusmill.operators.types import align_to_schema
 from corpusmill.plans.build import build_topic, topic_table
 from corpusmill.plans.merge import merge_folder
@@ -127,6 +127,17 @@ def id_keyed_objects(spark, sf_dir):
     )
 
 
+@query
+def open_object_keys(spark, sf_dir):
+    """Object paths of orders written as JSON, and whether they are tables of ids that a schema must not spell out."""
+    text = F.concat(
+        F.lit('{"status":"'), "o_orderstatus", F.lit('","by_order":{"'), "o_orderkey", F.lit('":'), F.col("o_totalprice").cast("bigint"),
+        F.lit('},"meta":{"by_day":{"'), F.date_format("o_orderdate", "EEE"), F.lit('":1},"list":[{"'), F.substring("o_orderpriority", 1, 1), F.lit('":1}]}}'),
+    )
+    found = shapes.object_keys(_table(spark, sf_dir, "orders").select(F.parse_json(text).alias("record")), F.col("record"), max_keys=100)
+    return found.select("path", "first_key", "last_key", "is_open")
+
+
 @query
 def mixed_type_fields(spark, sf_dir):
     """A field that is a number here and text or an object there keeps every value as text."""
