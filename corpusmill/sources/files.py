@@ -6,17 +6,23 @@ readers; jobs that would miss data for that reason refuse to run and name the fi
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+import pyarrow.fs as pafs
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.functions import paths as P
+from corpusmill.sources.decode import filesystem_of
 
 # Fixed value: the file endings that count as record dumps.
 DUMP_ENDINGS = (".zst", ".zstd", ".xz", ".bz2", ".gz", ".json", ".jsonl")
 DUMP_GLOB = "*.{zst,zstd,xz,bz2,gz,json,jsonl}"
 PARQUET_GLOB = "*.{parquet,parq}"
+# Entries of a folder that a task hands on at a time.
+ENTRY_BATCH = 10_000
 
 
 def list_files(
@@ -56,40 +62,79 @@ class HiddenFiles(ValueError):
     """Files that look like input but that Spark's readers cannot see."""
 
 
-def hidden_files(spark: SparkSession, root: str, endings: Iterable[str], recursive: bool = True) -> list[str]:
-    """Paths below ``root`` that end like input and whose own name, or that of a folder above, hides them from Spark.
+ENTRY_SCHEMA = "path string, is_folder boolean, hidden boolean"
 
-    Only hidden names reach the driver. Names such as ``_kind=x`` are partition folders, not hidden.
+
+def is_hidden(name: str) -> bool:
+    """Whether Spark's readers pass over a file or folder for its name; ``_kind=x`` is a partition folder."""
+    return name.startswith(".") or (name.startswith("_") and "=" not in name)
+
+
+def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The entries of folders; what lies in a hidden folder is hidden."""
+    for batch in batches:
+        for folder, hidden in zip(batch.column("path").to_pylist(), batch.column("hidden").to_pylist()):
+            fs, name = filesystem_of(folder)
+            if fs.get_file_info(name).type != pafs.FileType.Directory:
+                continue
+            found = fs.get_file_info(pafs.FileSelector(name, allow_not_found=True))
+            for at in range(0, len(found), ENTRY_BATCH):
+                some = found[at : at + ENTRY_BATCH]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([f"{folder.rstrip('/')}/{f.base_name}" for f in some], pa.string()),
+                        pa.array([f.type == pafs.FileType.Directory for f in some], pa.bool_()),
+                        pa.array([hidden or is_hidden(f.base_name) for f in some], pa.bool_()),
+                    ],
+                    names=["path", "is_folder", "hidden"],
+                )
+
+
+def walk(spark: SparkSession, root: str, recursive: bool = True) -> Iterator[DataFrame]:
+    """Entries of a folder tree, hidden ones too, a level at a time: ``path, is_folder, hidden``.
+
+    The folders of a level are a DataFrame that tasks list; entries never meet on the driver. A level is listed once,
+    and stays cached while its follower is read. A root that is a file, or is not there, has no entries.
+    """
+    tasks = max(1, 4 * spark.sparkContext.defaultParallelism)
+    folders, kept = spark.createDataFrame([(root, False)], "path string, hidden boolean"), []
+    try:
+        while True:
+            entries = folders.mapInArrow(_listed, ENTRY_SCHEMA).persist()
+            kept.append(entries)
+            yield entries
+            below = entries.where("is_folder").select("path", "hidden")
+            if not recursive or below.isEmpty():
+                return
+            for done in kept[:-1]:
+                done.unpersist()
+            kept = kept[-1:]
+            # one folder may hold most folders of the next level
+            folders = below.repartition(tasks)
+    finally:
+        for done in kept:
+            done.unpersist()
+
+
+def hidden_files(spark: SparkSession, root: str, endings: Iterable[str], recursive: bool = True, most: int = 10) -> tuple[int, list[str]]:
+    """How many files below ``root`` end like input and are hidden from Spark's readers, and the first few of them.
+
+    They are hidden by their own name or that of a folder above.
     """
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path
-    top = hadoop_path(P.escape_glob(root))
-    fs = top.getFileSystem(spark._jsc.hadoopConfiguration())
-    endings, found, level = tuple(endings), [], P.escape_glob(root).rstrip("/")
-
-    def look(status) -> None:
-        path = status.getPath()
-        if status.isFile():
-            if path.getName().lower().endswith(endings):
-                found.append(path.toString())
-        elif recursive and "=" not in path.getName():
-            for child in fs.listStatus(path):
-                look(child)
-
-    while True:
-        for status in fs.globStatus(hadoop_path(f"{level}/[_.]*")) or []:
-            look(status)
-        below = fs.globStatus(hadoop_path(f"{level}/[!.]*/*")) if recursive else None
-        if not below:
-            return sorted(found)
-        level += "/[!.]*"
+    endings, count, first = tuple(endings), 0, []
+    for entries in walk(spark, root, recursive):
+        named = reduce(Column.__or__, [F.lower("path").endswith(ending) for ending in endings])
+        found = entries.where(F.col("hidden") & ~F.col("is_folder") & named).select("path")
+        more = found.count()
+        if more:
+            count, first = count + more, first + [r["path"] for r in found.orderBy("path").limit(most).collect()]
+    return count, sorted(first)[:most]
 
 
 def refuse_hidden(spark: SparkSession, root: str, endings: Iterable[str], recursive: bool = True) -> None:
-    found = hidden_files(spark, root, endings, recursive)
-    if found:
-        raise HiddenFiles(
-            f"{len(found)} files below {root} have names that Spark takes as hidden; rename them: {', '.join(found[:10])}"
-        )
+    count, first = hidden_files(spark, root, endings, recursive)
+    if count:
+        raise HiddenFiles(f"{count} files below {root} have names that Spark takes as hidden; rename them: {', '.join(first)}")
 
 
 def list_dumps(spark: SparkSession, root: str, recursive: bool = False, ignore: Iterable[str] = ()) -> DataFrame:
