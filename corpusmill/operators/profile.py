@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -14,6 +18,13 @@ from corpusmill.sources.files import list_dataset
 from corpusmill.sources.parquet import parquet_footers
 
 
+# Files whose footers are read in the first round when the first or last rows of a dataset are looked for.
+EDGE_FILES = 8
+
+# Hash buckets that frequent values are looked for in.
+COUNT_BUCKETS = 1 << 14
+
+
 def _field(df: DataFrame, name: str) -> T.StructField:
     for f in df.schema.fields:
         if f.name == name:
@@ -123,6 +134,34 @@ def value_counts(df: DataFrame, column: str, k: int = 20) -> DataFrame:
     return counts.orderBy(F.desc("n"), tie.asc_nulls_last()).limit(_check_n(k))
 
 
+def frequent_values(df: DataFrame, column: str, k: int = 20, buckets: int = COUNT_BUCKETS) -> DataFrame:
+    """The rows of :func:`value_counts`, for columns of very many values: only values that may be among them are counted.
+
+    Values are counted by hash bucket first, a sketch of fixed size. The values of the fullest buckets are then counted
+    exactly, and the k-th of those counts is a bound: a value that reaches it lies in a bucket that reaches it. All values
+    of such buckets are counted exactly, so the result is complete whatever the data; how many values are shuffled depends
+    on how many buckets reach the bound.
+    """
+    f = _field(df, column)
+    if _has_map(f.dataType):
+        raise TypeError(f"maps have no hash to count by: column {column!r}")
+    value = present(column_of(column), f.dataType)
+    rows = df.select(value.alias("value"), F.pmod(F.xxhash64(value), F.lit(buckets)).cast("int").alias("bucket"))
+    sizes = sorted(((r["count"], r["bucket"]) for r in rows.groupBy("bucket").count().collect()), reverse=True)  # a row per bucket
+
+    def counted(chosen: list[int]) -> DataFrame:
+        names = df.sparkSession.createDataFrame([(b,) for b in chosen], "bucket int")
+        some = rows if len(chosen) == len(sizes) else rows.join(F.broadcast(names), "bucket", "left_semi")
+        return some.groupBy("value").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), F.col("value").asc_nulls_last()).limit(_check_n(k))
+
+    fullest = [bucket for _, bucket in sizes[: 2 * k]]
+    if len(fullest) == len(sizes):
+        return counted(fullest)
+    least = counted(fullest).agg(F.count(F.lit(1)).alias("found"), F.min("n").alias("n")).first()
+    bound = least["n"] if least["found"] == k and k else 0
+    return counted([bucket for size, bucket in sizes if size >= bound])
+
+
 def _has_map(dtype: T.DataType) -> bool:
     if isinstance(dtype, T.StructType):
         return any(_has_map(f.dataType) for f in dtype.fields)
@@ -163,16 +202,31 @@ def tail(df: DataFrame, n: int = 5, order_by: list[str] | None = None) -> DataFr
     return last.orderBy(*keys).drop(*keys)
 
 
-def _dataset_slice(spark: SparkSession, path: str, n: int, last: bool) -> DataFrame:
-    """The rows of the first (or last) ``n`` places of a Parquet dataset in file order.
+def _edge_files(spark: SparkSession, path: str, n: int, last: bool) -> list:
+    """``path, num_rows`` of the first (or last) files of a dataset that together hold ``n`` rows, the outermost first.
 
-    Footers tell how many rows each file holds; only the files that hold the wanted places are read, and of these only
-    the wanted places are kept.
+    Footers are read from that end on, eight times as many in every round, so no more than about eight times the files
+    that are needed are opened and no count of all files is ever made.
     """
-    order = Window.orderBy(F.desc("path") if last else F.asc("path"))
-    files = parquet_footers(list_dataset(spark, path)).where(F.col("error").isNull()).select("path", "num_rows")
-    before = F.coalesce(F.sum("num_rows").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    wanted = files.withColumn("before", before).where(F.col("before") < n).orderBy(*([F.desc("path")] if last else ["path"])).collect()
+    files, end = list_dataset(spark, path), F.desc("path") if last else F.asc("path")
+    many = EDGE_FILES
+    while True:
+        some = files.select("path").orderBy(end).limit(many)
+        footers = parquet_footers(some).select("path", "num_rows", "error").collect()
+        wanted, rows = [], 0
+        for footer in sorted((f for f in footers if f["error"] is None), key=lambda f: f["path"], reverse=last):
+            if rows >= n:
+                return wanted
+            wanted.append(footer)
+            rows += footer["num_rows"]
+        if rows >= n or len(footers) < many:
+            return wanted
+        many *= 8
+
+
+def _dataset_slice(spark: SparkSession, path: str, n: int, last: bool) -> DataFrame:
+    """The rows of the first (or last) ``n`` places of a Parquet dataset in file order: no other row is read."""
+    wanted = _edge_files(spark, path, n, last) if n else []
     if not wanted:
         return spark.read.parquet(path).limit(0)
     reader = spark.read.schema(spark.read.parquet(path).schema)
@@ -180,7 +234,7 @@ def _dataset_slice(spark: SparkSession, path: str, n: int, last: bool) -> DataFr
         reader = reader.option("basePath", path)
     rows = reader.parquet(*[P.escape_glob(f["path"]) for f in wanted])
     edge = wanted[-1]
-    share = min(n - edge["before"], edge["num_rows"])
+    share = min(n - sum(f["num_rows"] for f in wanted[:-1]), edge["num_rows"])
     at_edge = P.scanned_path() == edge["path"]
     inside = F.col("_metadata.row_index") >= edge["num_rows"] - share if last else F.col("_metadata.row_index") < share
     return rows.where(~at_edge | inside)
@@ -217,24 +271,45 @@ def sample_column(df: DataFrame, column: str, n: int = 5, seed: int = 0, key: li
     return drawn.orderBy("__draw").limit(_check_n(n)).select("value")
 
 
+def _smallest(names: list[str], n: int):
+    """Rows of draws ``d0, d1, ...`` and values ``v0, v1, ...`` in, per task the n smallest draws of every column out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list = [None] * len(names)
+        for batch in batches:
+            for i in range(len(names)):
+                some = pa.table({"value": batch.column(f"v{i}"), "draw": batch.column(f"d{i}")})
+                some = some.filter(pc.is_valid(some["draw"]))
+                some = some if held[i] is None else pa.concat_tables([held[i], some])
+                if some.num_rows > n:
+                    some = some.take(pc.select_k_unstable(some, n, [("draw", "ascending")]))
+                held[i] = some.combine_chunks()
+        for name, some in zip(names, held):
+            for part in some.to_batches() if some is not None else []:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([name] * part.num_rows, pa.string()), part.column("value"), part.column("draw")],
+                    names=["column", "value", "draw"],
+                )
+
+    return run
+
+
 def sample_all_columns(df: DataFrame, n: int = 1, seed: int = 0, key: list[str] | None = None) -> DataFrame:
     """Up to ``n`` values of every column as text, ``(column, value)``; NULL where a column has none.
 
-    One scan serves all columns: each row gives one entry per column, and a top-n per column keeps n of them in every
-    task before anything is shuffled.
+    One scan serves all columns. Every task keeps the n smallest draws of each column as it reads, and only these leave
+    it; they are merged per column.
     """
     _check_n(n)
-    fields = df.schema.fields
-    entries = [
-        F.struct(
-            F.lit(f.name).alias("column"),
-            _value_text(f).alias("value"),
-            F.when(~_missing(f), _draw(df, key, seed, F.lit(f.name))).alias("draw"),
-        )
-        for f in fields
-    ]
-    drawn = df.select(F.inline(F.array(*entries))).where(F.col("draw").isNotNull())
+    fields, names = df.schema.fields, df.columns
+    drawn = df.select(
+        *(_value_text(f).alias(f"v{i}") for i, f in enumerate(fields)),
+        *(F.when(~_missing(f), _draw(df, key, seed, F.lit(f.name))).alias(f"d{i}") for i, f in enumerate(fields)),
+    )
+    small = drawn.mapInArrow(_smallest(names, n), "column string, value string, draw string") if n else None
+    listed = df.sparkSession.createDataFrame([(name,) for name in names], "column string")
+    if small is None:
+        return listed.withColumn("value", F.lit(None).cast("string"))
     place = F.row_number().over(Window.partitionBy("column").orderBy("draw"))
-    kept = drawn.withColumn("__place", place).where(F.col("__place") <= n)
-    names = df.sparkSession.createDataFrame([(f.name,) for f in fields], "column string")
-    return names.join(kept, "column", "left").select("column", "value")
+    kept = small.withColumn("__place", place).where(F.col("__place") <= n)
+    return listed.join(kept, "column", "left").select("column", "value")

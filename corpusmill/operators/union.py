@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from itertools import groupby, islice
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +15,8 @@ from corpusmill.operators.types import KIND_SEPARATOR, WHOLE, StoredType, TypeSu
 from corpusmill.sources.parquet import parquet_footers
 
 ORDERS = ("first_seen", "name")
+#: Files of one scan at most; more of the same types are several scans.
+SCAN_FILES = 10_000
 FAMILIES = ("int", "uint", "float", "timestamp", "string", "binary", "other")
 
 
@@ -101,12 +104,12 @@ def union_files(
     finally:
         footers.unpersist()
     parts = []
-    for group in sorted(groups, key=lambda g: min(g.paths)):
-        stored = settled | dict(zip(disputed, group.signature))
+    for signature, paths in groups:
+        stored = settled | dict(zip(disputed, signature))
         # columns that this group lacks, or stores without values, are left to the alignment
         types = [(f.name, stored[f.name] and prune_type(T._parse_datatype_json_string(stored[f.name]))) for f in target.fields]
         schema = T.StructType([T.StructField(name, dtype, True) for name, dtype in types if dtype])
-        scan = spark.read.schema(schema).parquet(*[P.escape_glob(p) for p in sorted(group.paths)])
+        scan = spark.read.schema(schema).parquet(*map(P.escape_glob, paths))
         parts.append(align_to_schema(scan, target))
     if not parts:
         return spark.createDataFrame([], target)
@@ -114,23 +117,23 @@ def union_files(
 
 
 def _scan_groups(footers: DataFrame, order: str, fallback: str, numeric_conflict: str) -> tuple:
-    """The union schema, the files per combination of disputed types, the disputed names, and the
-    stored type of every other name."""
+    """The union schema, batches of files of one combination of disputed types, the disputed names, and the stored type
+    of every other name."""
     rows = _column_types(footers)
     target = _target(rows, order, fallback, numeric_conflict)
     disputed = sorted(r["name"] for r in rows if r["spark_from"] != r["spark_to"])
     settled = {r["name"]: r["spark_from"] for r in rows if r["spark_from"] == r["spark_to"]}
     stored = F.expr("map_from_entries(transform(columns, c -> struct(c.name, c.spark)))")
     signature = F.array(*(stored[name] for name in disputed)) if disputed else F.array().cast("array<string>")
-    # file names only, as many as a scan of these files has to list anyway
-    groups = (
-        footers.filter(F.size("columns") > 0)
-        .select(signature.alias("signature"), "path")
-        .groupBy("signature")
-        .agg(F.collect_list("path").alias("paths"))
-        .collect()
-    )
-    return target, groups, disputed, settled
+    named = footers.filter(F.size("columns") > 0).select(signature.alias("signature"), "path")
+    # sorted in tasks, read one partition after the other: paths of a group never meet in a row
+    rows = named.orderBy("signature", "path").toLocalIterator()
+    batches = [
+        (list(key), [r["path"] for r in some])
+        for key, group in groupby(rows, key=lambda r: tuple(r["signature"]))
+        for some in iter(lambda: list(islice(group, SCAN_FILES)), [])
+    ]
+    return target, sorted(batches, key=lambda b: b[1][0]), disputed, settled
 
 
 def union_by_name(

@@ -15,6 +15,12 @@ _HUMAN = """
                     WHEN {0} / 1073741824.0 < 1024 THEN printf('%.2f GB', {0}::DOUBLE / 1073741824)
                     ELSE printf('%.2f TB', {0}::DOUBLE / 1099511627776) END"""
 
+# Orders stored as text, a file per month.
+_MONTHS = """
+        WITH f AS (SELECT strftime(o_orderdate, '%Y-%m') AS month,
+                          CAST(sum(length(concat_ws('|', o_orderkey, o_custkey, o_orderstatus, o_orderpriority)) + 1) AS BIGINT) AS length
+                   FROM orders GROUP BY 1)"""
+
 ORACLE = {
     "jsonl_topic_filter": """
         SELECT doc_id, lower(source) AS subreddit, lang, text, n_chars, 'comments' AS _kind, '2025-01' AS _month
@@ -82,10 +88,10 @@ ORACLE = {
         SELECT "column", value FROM r WHERE place <= 3 AND (value IS NOT NULL OR ("column" = 'nothing' AND place = 1))""",
     "sample_one_per_column": """
         WITH v AS (
-          SELECT n_nationkey, unnest(['n_nationkey', 'n_name', 'n_regionkey']) AS "column",
-                 unnest([CAST(n_nationkey AS VARCHAR), n_name, CAST(n_regionkey AS VARCHAR)]) AS value FROM nation)
+          SELECT o_orderkey, unnest(['o_orderkey', 'o_custkey', 'o_orderpriority']) AS "column",
+                 unnest([CAST(o_orderkey AS VARCHAR), CAST(o_custkey AS VARCHAR), o_orderpriority]) AS value FROM orders)
         SELECT "column", value FROM v
-        QUALIFY row_number() OVER (PARTITION BY "column" ORDER BY md5(n_nationkey || '|' || "column" || '|7')) = 1""",
+        QUALIFY row_number() OVER (PARTITION BY "column" ORDER BY md5(o_orderkey || '|' || "column" || '|7')) = 1""",
     "html_unescape": """
         SELECT page_id,
                replace(replace(replace(replace(html, '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&amp;', '&') AS html
@@ -184,6 +190,8 @@ ORACLE = {
         SELECT nullif(event_type, 'error') AS value, count(*) AS n FROM events GROUP BY 1 ORDER BY n DESC, value LIMIT 20""",
     "value_counts_topk": """
         SELECT l_partkey AS value, count(*) AS n FROM lineitem GROUP BY 1 ORDER BY n DESC, value LIMIT 25""",
+    "frequent_values": """
+        SELECT l_partkey AS value, count(*) AS n FROM lineitem GROUP BY 1 ORDER BY n DESC, value LIMIT 25""",
     "value_counts_nan": """
         SELECT CASE WHEN event_id % 50 <> 0 AND event_id % 7 <> 0 THEN value END AS value, count(*) AS n
         FROM events GROUP BY 1 ORDER BY n DESC, value NULLS LAST LIMIT 30""",
@@ -227,11 +235,11 @@ ORACLE = {
         SELECT turn, count(*) FILTER (turn < 2 OR text = '') AS blank, count(*) AS n FROM conversations GROUP BY turn""",
     "file_inventory": """
         SELECT l_returnflag, l_linestatus, count(*) AS rows FROM lineitem GROUP BY ALL""",
-    "largest_files": _FILES + """
+    "largest_of_listing": _FILES + """
         SELECT substr(path, 7) AS file, length, """ + _HUMAN.format("length") + """ AS size FROM f ORDER BY length DESC, path LIMIT 10""",
-    "extension_counts": _FILES + """
+    "extensions_of_listing": _FILES + """
         SELECT CASE WHEN ext = '' THEN '[no ext]' ELSE ext END AS ext, count(*) AS files FROM f GROUP BY ALL""",
-    "file_size_stats": _FILES + """,
+    "sizes_of_listing": _FILES + """,
         s AS (SELECT count(*) AS file_count, CAST(sum(length) AS BIGINT) AS total_bytes, min(length) AS size_min_bytes,
                      percentile_disc(0.5) WITHIN GROUP (ORDER BY length DESC) AS size_median_bytes,
                      CAST(sum(length) // count(*) AS BIGINT) AS size_avg_bytes, max(length) AS size_max_bytes,
@@ -243,13 +251,31 @@ ORACLE = {
     "ordered_files": _FILES + """
         SELECT path, CAST(row_number() OVER (ORDER BY name, path) AS INTEGER) AS place
         FROM f WHERE name NOT IN ('RC_4', 'RC_5.parquet')""",
+    "largest_files": _MONTHS + """
+        SELECT month, length, """ + _HUMAN.format("length") + """ AS size FROM f ORDER BY length DESC, month LIMIT 10""",
+    "extension_counts": _MONTHS + """
+        SELECT '.txt' AS ext, count(*) AS files FROM f""",
+    "file_size_stats": _MONTHS + """,
+        s AS (SELECT count(*) AS file_count, CAST(sum(length) AS BIGINT) AS total_bytes, min(length) AS size_min_bytes,
+                     percentile_disc(0.5) WITHIN GROUP (ORDER BY length DESC) AS size_median_bytes,
+                     CAST(sum(length) // count(*) AS BIGINT) AS size_avg_bytes, max(length) AS size_max_bytes, true AS in_order FROM f)
+        SELECT *, """ + ", ".join(
+        _HUMAN.format(f"{n}_bytes") + f" AS {n}_human" for n in ("total", "size_min", "size_median", "size_avg", "size_max")
+    ) + " FROM s",
     "row_groups": """
+        SELECT CAST(sum(ceil(n / 50000.0)) AS BIGINT) AS total_row_groups, CAST(sum(ceil(n / 50000.0)) AS BIGINT) AS files_counted,
+               CAST(0 AS BIGINT) AS files_unreadable, CAST(sum(n) AS BIGINT) AS total_rows
+        FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_returnflag, l_linestatus)""",
+    "most_row_groups": """
+        SELECT o_orderpriority, o_orderstatus, CAST(ceil(count(*) / 100.0) AS INTEGER) AS num_row_groups, count(*) AS num_rows
+        FROM orders GROUP BY ALL""",
+    "row_groups_of_listing": """
         SELECT CAST(sum(p_size) FILTER (p_size % 9 <> 0) AS BIGINT) AS total_row_groups,
                count(*) FILTER (p_size % 9 <> 0) AS files_counted, count(*) FILTER (p_size % 9 = 0) AS files_unreadable,
                CAST(sum(p_partkey * 10) FILTER (p_size % 9 <> 0) AS BIGINT) AS total_rows,
                CAST(sum(p_partkey * p_size) FILTER (p_size % 9 <> 0) AS BIGINT) AS total_byte_size
         FROM part""",
-    "most_row_groups": """
+    "most_row_groups_of_listing": """
         SELECT p_partkey || '.parquet' AS file, p_size AS num_row_groups, p_partkey * 10 AS num_rows, p_partkey * p_size AS total_byte_size
         FROM part WHERE p_size % 9 <> 0 ORDER BY p_size DESC, 'file:/data/' || p_partkey || '.parquet' LIMIT 10""",
     "stored_row_groups": """

@@ -419,6 +419,11 @@ def value_counts_topk(spark, sf_dir):
     return profile.value_counts(_table(spark, sf_dir, "lineitem"), "l_partkey", 25)
 
 
+@query
+def frequent_values(spark, sf_dir):
+    return profile.frequent_values(_table(spark, sf_dir, "lineitem"), "l_partkey", 25)
+
+
 @query
 def value_counts_nan(spark, sf_dir):
     return profile.value_counts(_gappy_events(spark, sf_dir), "value", 30)
@@ -470,7 +475,8 @@ def sample_all_columns(spark, sf_dir):
 
 @query
 def sample_one_per_column(spark, sf_dir):
-    return profile.sample_all_columns(_table(spark, sf_dir, "nation"), seed=7, key=["n_nationkey"])
+    orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    return profile.sample_all_columns(orders, seed=7, key=["o_orderkey"])
 
 
 @query
@@ -585,17 +591,17 @@ def _file_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def largest_files(spark, sf_dir):
+def largest_of_listing(spark, sf_dir):
     return corpus.largest_files(_file_table(spark, sf_dir), "/data")
 
 
 @query
-def extension_counts(spark, sf_dir):
+def extensions_of_listing(spark, sf_dir):
     return corpus.extension_counts(_file_table(spark, sf_dir))
 
 
 @query
-def file_size_stats(spark, sf_dir):
+def sizes_of_listing(spark, sf_dir):
     return corpus.file_stats(_file_table(spark, sf_dir))
 
 
@@ -618,13 +624,55 @@ def _footer_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _stored_text(spark: SparkSession, sf_dir: str) -> str:
+    """Orders as text, a file per month: sizes of real files that can also be told from the rows."""
+    folder, orders = scratch_dir(spark, "text"), _table(spark, sf_dir, "orders")
+    line = F.concat_ws("|", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    months = orders.select(F.date_format("o_orderdate", "yyyy-MM").alias("month"), line.alias("line")).repartition("month")
+    months.write.partitionBy("month").text(folder)
+    return folder
+
+
+@query
+def largest_files(spark, sf_dir):
+    folder = _stored_text(spark, sf_dir)
+    found = corpus.largest_files(list_dataset(spark, folder), folder)
+    return found.select(F.regexp_extract("file", "month=([^/]*)", 1).alias("month"), "length", "size")
+
+
+@query
+def extension_counts(spark, sf_dir):
+    return corpus.extension_counts(list_dataset(spark, _stored_text(spark, sf_dir)))
+
+
+@query
+def file_size_stats(spark, sf_dir):
+    stats = corpus.file_stats(list_dataset(spark, _stored_text(spark, sf_dir)))
+    return stats.withColumn("in_order", F.col("mtime_earliest") <= F.col("mtime_latest")).drop("mtime_earliest", "mtime_latest")
+
+
 @query
 def row_groups(spark, sf_dir):
-    return corpus.row_group_totals(_footer_table(spark, sf_dir))
+    """Row groups of stored line items, read from the files' footers."""
+    return corpus.row_group_totals(corpus.dataset_footers(spark, _stored_lineitem(spark, sf_dir))).drop("total_byte_size")
 
 
 @query
 def most_row_groups(spark, sf_dir):
+    folder = scratch_dir(spark, "groups")
+    write_parquet(_table(spark, sf_dir, "orders"), folder, "snappy", ("o_orderpriority", "o_orderstatus"), rows_per_group=100)
+    found = corpus.most_row_groups(corpus.dataset_footers(spark, folder), folder, 100)
+    priority, status = (F.regexp_extract(F.url_decode("file"), f"{name}=([^/]*)", 1).alias(name) for name in ("o_orderpriority", "o_orderstatus"))
+    return found.select(priority, status, "num_row_groups", "num_rows")
+
+
+@query
+def row_groups_of_listing(spark, sf_dir):
+    return corpus.row_group_totals(_footer_table(spark, sf_dir))
+
+
+@query
+def most_row_groups_of_listing(spark, sf_dir):
     return corpus.most_row_groups(_footer_table(spark, sf_dir), "/data")
 
 
