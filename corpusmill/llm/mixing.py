@@ -144,13 +144,12 @@ def split_quotas(quotas: DataFrame, shards: int = SHARDS, seed: int = SEED) -> D
     return leaves.select("source", "shard", (upto - F.col("quota")).alias("first"), upto.alias("last"))
 
 
-def draw(sized: DataFrame, shards: int = SHARDS, seed: int = SEED, weights: tuple = WEIGHTS, max_passes: int = MAX_PASSES,
-         until_none_fits: bool = True):
-    """``row, shards``: for every row of ``row, doc_id, source, size`` the shards its copies go to, one entry a copy.
+def draw(sized: DataFrame, shards: int = SHARDS, seed: int = SEED, weights: tuple = WEIGHTS, max_passes: int = MAX_PASSES):
+    """``row, shards``: for every row of ``row, doc_id, source, size`` (and ``mark``) the shards its copies go to.
 
     A source's words in the mix fall short of its target by less than its smallest left-out document: whole passes, whole
     blocks of the last pass, rows of the block in which the target falls as far as they fit, the one row left that fits
-    best into the rest, and further rows until none fits; without ``until_none_fits``, that one row is the last.
+    best into the rest, and further rows in permuted order until none fits.
     """
     plan = targets(sized, weights, max_passes)
     blocks_of = F.greatest(F.ceil(F.sqrt(F.col("n").cast("double"))), F.lit(1)).cast("long")
@@ -158,7 +157,10 @@ def draw(sized: DataFrame, shards: int = SHARDS, seed: int = SEED, weights: tupl
     plan = plan.withColumn("blocks", blocks_of).withColumn("passes", whole.cast("int"))
     plan = stage(plan.withColumn("rest", F.floor(F.col("target") - F.col("passes") * F.col("source_size") + 0.5).cast("long")), "mix-plan")
 
-    place = _uniform(F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    # rows without id are told apart by their text, or they would all lie in one block
+    mark = F.col("d.mark") if "mark" in sized.columns else F.lit("")
+    named, unnamed = (_uniform(F.lit(str(seed)), part) for part in (F.col("d.doc_id").cast("string"), F.concat(F.lit("|"), mark)))
+    place = F.when(F.col("d.doc_id").isNotNull(), named).otherwise(unnamed)
     here = sized.alias("d").join(plan.alias("p"), F.col("d.source").eqNullSafe(F.col("p.source")))
     placed = stage(
         here.select("d.row", "d.source", "d.size", place.alias("place"), "p.rest", "p.passes", "p.blocks")
@@ -200,9 +202,9 @@ def draw(sized: DataFrame, shards: int = SHARDS, seed: int = SEED, weights: tupl
     extra = inside.where("fits").select("row").unionByName(best.select("row"))
     others = fitting.alias("d").join(F.broadcast(best.alias("b")), F.col("d.source").eqNullSafe(F.col("b.source"))).where("d.row <> b.row")
     pool = others.select("d.source", "d.block", "d.row", "d.size", "d.place", (F.col("d.gap") - F.col("b.size")).alias("gap"))
-    pool = stage(pool.where("size <= gap"), "mix-pool") if until_none_fits else None
+    pool = stage(pool.where("size <= gap"), "mix-pool")
     # where a long row ended the filling, left-out rows that still fit are drawn in permuted order, until none fits
-    while until_none_fits and not pool.isEmpty():
+    while not pool.isEmpty():
         words = pool.groupBy("source", "block").agg(F.sum("size").alias("words"))
         before = F.sum("words").over(Window.partitionBy("source").orderBy("block")) - F.col("words")
         begun = words.select("source", "block", before.alias("before"))
@@ -255,10 +257,13 @@ def draw(sized: DataFrame, shards: int = SHARDS, seed: int = SEED, weights: tupl
 
 
 def sized_rows(docs: DataFrame, id_col: str, source_col: str, text_col: str) -> DataFrame:
-    """``doc, row, doc_id, source, size`` of every row; numbers of rows hold once they are staged."""
+    """``doc, row, doc_id, mark, source, size`` of every row; numbers of rows hold once they are staged.
+
+    ``mark`` is a digest of the text where there is no id.
+    """
     return docs.select(
         F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row"),
-        F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"),
+        F.col(id_col).alias("doc_id"), F.when(F.col(id_col).isNull(), F.md5(F.coalesce(text_col, F.lit("")))).alias("mark"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"),
     )
 
 
@@ -271,16 +276,15 @@ def mixture(
     seed: int = SEED,
     weights: tuple = WEIGHTS,
     max_passes: int = MAX_PASSES,
-    until_none_fits: bool = True,
 ) -> DataFrame:
     """Per row ``doc_id, size, source_size, target, taken, shards``: what the mix takes of it.
 
     Size counts words; a NULL or empty text has none and is drawn without changing any figure. Rows without source are
-    a source of their own that sorts last. Repeated rows are drawn each on their own. ``taken`` is the size times the
+    a source of their own that sorts last. Very long texts count like any other. Repeated rows are drawn each on their own. ``taken`` is the size times the
     number of copies, at most ``max_passes``. The same table, seed and number of shards give the same mix.
     """
     sized = stage(sized_rows(docs, id_col, source_col, text_col).drop("doc"), "mix-sizes")
-    drawn = draw(sized, shards, seed, weights, max_passes, until_none_fits)
+    drawn = draw(sized, shards, seed, weights, max_passes)
     plan = targets(sized, weights, max_passes)
     return (
         sized.alias("s").join(drawn.alias("w"), F.col("s.row") == F.col("w.row"))

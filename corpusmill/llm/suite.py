@@ -91,8 +91,7 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # its SQL fills what a long row leaves open with one row
-    return mixing.mixture(_table(spark, sf_dir, "documents"), until_none_fits=False).drop("shards")
+    return mixing.mixture(_table(spark, sf_dir, "documents")).drop("shards")
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -198,13 +197,29 @@ ORACLE: dict[str, str] = {
             SELECT source, min(room - CASE WHEN filled <= room THEN filled ELSE 0 END) AS gap FROM rows_ WHERE edge GROUP BY source
         ),
         fitted AS (
-            SELECT r.*, row_number() OVER (PARTITION BY r.source, NOT whole AND NOT (edge AND filled <= room) AND size <= gap AND size > 0
+            SELECT r.*, g.gap, row_number() OVER (PARTITION BY r.source, NOT whole AND NOT (edge AND filled <= room) AND size <= gap AND size > 0
                                            ORDER BY size DESC, place DESC) = 1
                         AND NOT whole AND NOT (edge AND filled <= room) AND coalesce(size <= gap AND size > 0, false) AS best
             FROM rows_ r LEFT JOIN gaps g ON r.source IS NOT DISTINCT FROM g.source
+        ),
+        pool AS (
+            SELECT doc_id, source, block, place, size, left_ AS gap
+            FROM (SELECT *, gap - max(size) FILTER (best) OVER (PARTITION BY source) AS left_ FROM fitted)
+            WHERE NOT whole AND NOT (edge AND filled <= room) AND NOT best AND size > 0 AND size <= left_
+        ),
+        filling AS (
+            WITH RECURSIVE f AS (
+                SELECT *, (sum(size) OVER (PARTITION BY source ORDER BY block, place))::BIGINT AS upto FROM pool
+                UNION ALL
+                SELECT *, (sum(size) OVER (PARTITION BY source ORDER BY block, place))::BIGINT
+                FROM (SELECT doc_id, source, block, place, size, gap - spent AS gap
+                      FROM (SELECT *, max(upto) FILTER (upto <= gap) OVER (PARTITION BY source) AS spent FROM f)
+                      WHERE upto > gap AND size <= gap - spent)
+            )
+            SELECT doc_id FROM f WHERE upto <= gap
         )
         SELECT doc_id, size, source_size, target,
-               (size * (passes + (whole OR (edge AND filled <= room) OR best)::INT))::BIGINT AS taken
+               (size * (passes + (whole OR (edge AND filled <= room) OR best OR doc_id IN (SELECT doc_id FROM filling))::INT))::BIGINT AS taken
         FROM fitted""",
     "op11_conversation_repair": r"""
         WITH crc AS (

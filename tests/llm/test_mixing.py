@@ -120,3 +120,50 @@ def test_a_long_document_leaves_no_gap(spark, seed):
     passes = int(target // sum(sizes))
     left_out = [size for n, size in enumerate(sizes) if copies[n] == passes]
     assert 0 <= rest < min(left_out)
+
+
+def left_out_rows_fit_nowhere(rows):
+    """Per source: what is missing to the target is less than any row that could have been taken once more."""
+    sources = {}
+    for r in rows:
+        sources.setdefault((r["source_size"], r["target"]), []).append(r)
+    for (size, target), own in sources.items():
+        passes = min(int(target / size), 3) if size else 0
+        gap = int(target + 0.5) - sum(r["taken"] for r in own)
+        assert gap >= 0
+        for r in own:
+            if r["size"] and r["taken"] // r["size"] == passes < 3:
+                assert r["size"] > gap, (size, target, gap, r)
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_registered_mix_leaves_out_no_row_that_fits(spark, sf):
+    from corpusmill.llm import suite
+
+    rows = suite.op8_mixture(spark, f"/root/testdata/{sf}").collect()
+    by_source = {}
+    docs = {r["doc_id"]: r["source"] for r in spark.read.parquet(f"/root/testdata/{sf}/documents.parquet").collect()}
+    for r in rows:
+        by_source.setdefault(docs[r["doc_id"]], []).append(r)
+    for own in by_source.values():
+        left_out_rows_fit_nowhere(own)
+
+
+def test_a_long_row_leaves_no_gap_that_others_fill(make_docs):
+    docs = make_docs([(n, "w " * (5 if n else 1_000), "en", "a") for n in range(200)] + [(900 + n, "w " * 50, "en", "b") for n in range(60)])
+    rows = mixing.mixture(docs).collect()
+    left_out_rows_fit_nowhere([r for r in rows if r["source_size"] == 1_995])
+    left_out_rows_fit_nowhere([r for r in rows if r["source_size"] == 3_000])
+
+
+def test_rows_without_id_lie_in_many_blocks(spark, make_docs):
+    docs = make_docs([(None, f"text number {n}", "en", "a") for n in range(400)] + [(n, "w " * 9, "en", "b") for n in range(400)])
+    shards = [tuple(r["shards"]) for r in mixing.mixture(docs).where("doc_id IS NULL").collect()]
+    assert len(set(shards)) > 4 and len(shards) == 400
+
+
+def test_shards_split_the_quotas_exactly(spark):
+    rows = mixing.mixture(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"), shards=5).collect()
+    words = [sum(r["size"] * r["shards"].count(shard) for r in rows) for shard in range(5)]
+    assert sum(words) == sum(r["taken"] for r in rows)
+    assert max(words) < 2.5 * sum(words) / 5
