@@ -23,14 +23,25 @@ FREQUENT = ("amp;", "lt;", "gt;", "quot;", "nbsp;", "apos;")
 REFERENCE = r"^(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
 
 
-@lru_cache(maxsize=1)
-def _open_names() -> tuple[int, ...]:
+# What the tables' text is cut at; neither stands in a name or a character.
+_ENTRY, _PAIR = "\x01", "\x02"
+
+
+@lru_cache(maxsize=None)
+def _table(open_only: bool) -> str:
+    """Names and characters as one text; ``open_only``: the names that count without a semicolon."""
+    return _ENTRY.join(name + _PAIR + text for name, text in html5.items() if not (open_only and name.endswith(";")))
+
+
+@lru_cache(maxsize=None)
+def _open_lengths() -> tuple[int, ...]:
     """Lengths of the names that count without a semicolon, longest first."""
     return tuple(sorted({len(name) for name in html5 if not name.endswith(";")}, reverse=True))
 
 
-def _named(names: dict[str, str]) -> Column:
-    return F.create_map(*(F.lit(part) for pair in sorted(names.items()) for part in pair))
+def _named(open_only: bool = False) -> Column:
+    """The table as a map: one literal, which the optimizer folds, however many names it has."""
+    return F.str_to_map(F.lit(_table(open_only)), F.lit(_ENTRY), F.lit(_PAIR))
 
 
 def _character(code: Column) -> Column:
@@ -66,15 +77,14 @@ def _numeric(reference: Column) -> Column:
 def _resolved(pair: Column) -> Column:
     """A piece of text that followed an ampersand, with the reference it starts with resolved."""
     part, reference = pair["part"], pair["reference"]
-    whole = F.concat(F.element_at(_named(html5), reference), F.substr(part, F.length(reference) + 1))
+    whole = F.concat(F.element_at(_named(), reference), F.substr(part, F.length(reference) + 1))
     # the longest beginning that is a name of its own, as in &notit;
     starts = [
         F.when(
             F.length(reference) > n,
-            F.concat(F.element_at(_named({k: v for k, v in html5.items() if len(k) == n and not k.endswith(";")}), F.left(reference, F.lit(n))),
-                     F.substr(part, F.lit(n + 1))),
+            F.concat(F.element_at(_named(open_only=True), F.left(reference, F.lit(n))), F.substr(part, F.lit(n + 1))),
         )
-        for n in _open_names()
+        for n in _open_lengths()
     ]
     resolved = F.when(reference == "", F.concat(F.lit("&"), part))
     for name in FREQUENT:
