@@ -1,10 +1,12 @@
 """Approximate nearest neighbours by inner product with randomly rotated one-bit codes.
 
-A vector is taken relative to the corpus mean, scaled to length one, rotated at random, and kept as the signs of its
-coordinates in packed bits, with two scalars: its distance from the mean, and the inner product of the rotated vector
-with its own code, which corrects the estimate. The estimate's error is bounded with high probability, in proportion to
-how far the code is from the vector; a shard reranks exactly those vectors whose upper bound reaches the k-th best lower
-bound. There is no cap on how many those are.
+A vector is taken relative to the corpus mean, scaled to length one, padded with zeros to a multiple of its length,
+rotated at random, and kept as the signs of its coordinates in packed bits, with two scalars: its distance from the mean,
+and the inner product of the rotated vector with its own code, which corrects the estimate. A query is rotated alike and
+rounded to whole numbers of a few bits, so its inner product with a code is a sum of population counts: the code's words
+AND each bit plane of the query. The estimate's error is bounded, with high probability for the code, and surely for the
+rounding. Only vectors whose upper bound reaches the k-th best lower bound, first of a shard, then of all shards, are
+fetched and reranked: codes travel without vectors. There is no cap on how many those are.
 """
 
 from __future__ import annotations
@@ -13,102 +15,140 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.llm import vectors as V
 from corpusmill.llm.common import stage
 
-# Width of the error bounds: 1.9 leaves out about one vector in a thousand, 3 practically none.
-EPSILON = 3.0
+# Width of the error bounds in standard deviations. A true neighbour is lost only if it is estimated too low, and the k-th
+# best too high, by about so much together.
+EPSILON = 1.0
+#: Bits of a code per component of a vector.
+BITS_PER_COMPONENT = 8
+#: Bits a query's coordinate is rounded to.
+QUERY_BITS = 6
 SEED = 7
-# Queries whose estimates are held at a time.
-BLOCK = 64
 
-CODES_SCHEMA = "vec_id long, v array<double>, code binary, distance double, own double"
+CODES_SCHEMA = "vec_id long, code binary, distance double, own double"
 
 
-def rotation(width: int, seed: int = SEED) -> np.ndarray:
-    """A random orthogonal matrix, the same for one width and seed."""
-    return np.linalg.qr(np.random.default_rng(seed).standard_normal((width, width)))[0]
+def code_width(components: int, bits: int = BITS_PER_COMPONENT) -> int:
+    """Bits of a code: whole words."""
+    return max(64, -(-components * bits // 64) * 64)
 
 
-def code_width(components: int) -> int:
-    return max(8, -(-components // 8) * 8)
+def rotation(components: int, width: int | None = None, seed: int = SEED) -> np.ndarray:
+    """Orthonormal rows at random: turns vectors of some components, as if padded with zeros, into ``width`` of them."""
+    width = width or components
+    return np.linalg.qr(np.random.default_rng(seed).standard_normal((width, components)))[0].T
 
 
 def encode(rows: np.ndarray, mean: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Packed sign bits, distances from the mean, and inner products of the rotated unit vectors with their codes."""
-    offset = V.widened(rows, len(turn)) - mean
+    offset = V.widened(rows, len(mean)) - mean
     distance = np.sqrt((offset * offset).sum(axis=1))
     turned = (offset / np.where(distance > 0, distance, 1)[:, None]) @ turn
-    own = np.abs(turned).sum(axis=1) / np.sqrt(len(turn))
+    own = np.abs(turned).sum(axis=1) / np.sqrt(turn.shape[1])
     return np.packbits(turned > 0, axis=1), distance, np.where(distance > 0, own, 1.0)
 
 
-def build_index(vectors: DataFrame, seed: int = SEED) -> tuple[DataFrame, np.ndarray]:
+def build_index(vectors: DataFrame, bits: int = BITS_PER_COMPONENT, seed: int = SEED) -> tuple[DataFrame, np.ndarray]:
     """The code table of ``(vec_id, v)`` and the corpus mean; every row is indexed."""
-    width = vectors.select(F.max(F.size("v"))).first()[0] or 0
+    width = vectors.select(F.max(F.size("v"))).first()[0] or 1
     # the mean: one number per component, whatever the number of rows
     sums = vectors.select(F.posexplode("v").alias("at", "x")).groupBy("at").agg(F.sum("x").alias("s")).collect()
     total = max(1, vectors.count())
-    mean = np.zeros(code_width(width))
+    mean = np.zeros(width)
     for row in sums:
         mean[row["at"]] = row["s"] / total
     # fewer digits than the sum's order of addition can disturb: reruns agree
     mean = np.round(mean, 6)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        turn = rotation(len(mean), seed)
+        turn = rotation(width, code_width(width, bits), seed)
         for batch in batches:
             codes, distance, own = encode(V.matrix(batch.column("v"), width), mean, turn)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("vec_id"), batch.column("v"), pa.array([c.tobytes() for c in codes], pa.binary()),
-                 pa.array(distance), pa.array(own)],
-                names=["vec_id", "v", "code", "distance", "own"],
+                [batch.column("vec_id"), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(distance), pa.array(own)],
+                names=["vec_id", "code", "distance", "own"],
             )
 
     return vectors.mapInArrow(run, CODES_SCHEMA), mean
 
 
+class RoundedQuery:
+    """A rotated query as whole numbers of a few bits, cut into bit planes packed like codes."""
+
+    def __init__(self, turned: np.ndarray, bits: int = QUERY_BITS):
+        self.low = turned.min()
+        self.step = (turned.max() - self.low) / ((1 << bits) - 1) or 1.0
+        whole = np.rint((turned - self.low) / self.step).astype(np.int64)
+        planes = (whole[None, :] >> np.arange(bits)[:, None]) & 1
+        self.planes = np.packbits(planes.astype(np.uint8), axis=1).view("<u8")
+        self.total, self.width = int(whole.sum()), len(turned)
+        # what rounding can add to or take from a sum of signed coordinates
+        self.rounding = float(np.abs(turned - (self.low + self.step * whole)).sum())
+
+    def signed_sums(self, codes: np.ndarray, ones: np.ndarray) -> np.ndarray:
+        """Per code the sum of the query's coordinates, those of bit 0 negated: counted in words, nothing is unpacked."""
+        counted = np.zeros(len(codes), np.int64)
+        for n, plane in enumerate(self.planes):
+            counted += np.bitwise_count(codes & plane).sum(axis=1, dtype=np.int64) << n
+        return self.low * (2 * ones - self.width) + self.step * (2 * counted - self.total)
+
+
 class OneBitShard:
-    def __init__(self, ids, rows, codes: list, mean: np.ndarray, k: int, epsilon: float, seed: int):
-        code, distance, own = codes
-        self.ids, self.rows, self.k, self.mean = ids, rows, k, mean
-        self.turn = rotation(len(mean), seed)
-        packed = np.frombuffer(b"".join(code.to_pylist()), np.uint8).reshape(len(ids), -1)
-        self.signs = np.unpackbits(packed, axis=1).astype(np.float32) * 2 - 1
-        distance, own = distance.to_numpy(), np.clip(own.to_numpy(), 1e-9, 1)
-        root = np.sqrt(len(mean))
-        self.gain = (distance / (own * root)).astype(np.float32)
-        self.doubt = (epsilon * distance * np.sqrt(1 - own * own) / (own * np.sqrt(max(1, len(mean) - 1)))).astype(np.float32)
-
-    def search(self, ids: np.ndarray, queries: np.ndarray, floors: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        wide = V.widened(queries, len(self.mean))[:, : len(self.mean)]
+    def __init__(self, ids, codes: np.ndarray, distance: np.ndarray, own: np.ndarray, mean: np.ndarray, turn: np.ndarray, k: int, epsilon: float):
+        self.ids, self.codes, self.mean, self.turn, self.k = ids, codes, mean, turn, k
+        self.ones = np.bitwise_count(codes).sum(axis=1, dtype=np.int64)
+        width, own = turn.shape[1], np.clip(own, 1e-9, 1)
+        self.gain = distance / (own * np.sqrt(width))
+        self.doubt = epsilon * distance * np.sqrt(1 - own * own) / (own * np.sqrt(max(1, width - 1)))
+
+    def search(self, ids: np.ndarray, queries: np.ndarray, floors: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         # coordinates beyond the index's width meet zeros only
-        for at in range(0, len(ids), BLOCK):
-            few = wide[at : at + BLOCK]
-            turned = (few @ self.turn).astype(np.float32)
-            middle = (few @ self.mean).astype(np.float32)[:, None] + (turned @ self.signs.T) * self.gain
-            reach = np.linalg.norm(turned, axis=1)[:, None] * self.doubt
-            for n, own in enumerate(ids[at : at + BLOCK]):
-                low = np.where(self.ids == own, -np.inf, middle[n] - reach[n])
-                floor = floors[at + n]
-                if len(low) > self.k:
-                    floor = max(floor, np.partition(low, len(low) - self.k)[len(low) - self.k])
-                # single precision may round a bound by a few units of its last place
-                near = np.flatnonzero((middle[n] + reach[n] >= floor - 1e-5 * (1 + abs(floor))) & (self.ids != own))
-                scores = inner_products(self.rows[near], few[n])
-                kept = scores >= floors[at + n]
-                yield V.best(self.ids[near][kept], scores[kept], self.k)
-
-
-def inner_products(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
+        queries = V.widened(queries, len(self.mean))[:, : len(self.mean)]
+        for own, query, floor in zip(ids, queries, floors):
+            turned = query @ self.turn
+            rounded = RoundedQuery(turned)
+            middle = query @ self.mean + self.gain * rounded.signed_sums(self.codes, self.ones)
+            reach = np.linalg.norm(turned) * self.doubt + self.gain * rounded.rounding
+            others = self.ids != own
+            low, high = middle - reach, middle + reach
+            known = low[others]
+            if len(known) >= self.k:
+                floor = max(floor, np.partition(known, len(known) - self.k)[len(known) - self.k])
+            near = np.flatnonzero((high >= floor) & others)
+            yield self.ids[near], low[near], high[near]
+
+
+def code_shard(mean: np.ndarray, bits: int, k: int, epsilon: float, seed: int):
+    def build(rows: pa.Table) -> OneBitShard:
+        code = rows.column("code").combine_chunks()
+        codes = np.frombuffer(b"".join(code.to_pylist()), "<u8").reshape(rows.num_rows, -1)
+        turn = rotation(len(mean), code_width(len(mean), bits), seed)
+        distance, own = (rows.column(name).to_numpy() for name in ("distance", "own"))
+        return OneBitShard(rows.column("vec_id").to_numpy(), codes, distance, own, mean, turn, k, epsilon)
+
+    return build
+
+
+def inner_product(a: str, b: str):
     """In double precision, added component by component: the same for equal rows wherever they lie."""
-    total = np.zeros(len(rows))
-    for n in range(rows.shape[1]):
-        total += rows[:, n] * query[n]
-    return total
+    products = F.zip_with(a, b, lambda x, y: F.coalesce(x * y, F.lit(0.0)))
+    return F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
+
+
+def candidates(
+    codes: DataFrame, mean: np.ndarray, queries: DataFrame, k: int, bits: int, epsilon: float, seed: int, shard_rows: int
+) -> DataFrame:
+    """``query_id, vec_id``: the rows whose upper bound reaches the k-th best lower bound over all shards."""
+    hits = stage(V.search_shards(codes, queries, k, code_shard(mean, bits, k, epsilon, seed), shard_rows), "one-bit-hits")
+    order = Window.partitionBy("query_id").orderBy(F.desc("low"))
+    kth = hits.withColumn("n", F.row_number().over(order)).where(F.col("n") == k).select("query_id", F.col("low").alias("floor"))
+    reached = F.col("floor").isNull() | (F.col("high") >= F.col("floor"))
+    return hits.join(kth, "query_id", "left").where(reached).select("query_id", "vec_id")
 
 
 def nearest(
@@ -120,20 +160,22 @@ def nearest(
     epsilon: float = EPSILON,
     seed: int = SEED,
     shard_rows: int = V.SHARD_ROWS,
+    bits: int = BITS_PER_COMPONENT,
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: per query the k nearest found by inner product, ties to smaller ids.
 
     Scores are those of the original vectors in double precision. Vectors that are NULL, zero or hold NULL or
     non-finite components take no part, nor do rows without id. Vectors of different lengths are compared over their
-    common components. Rows that repeat an id are each other's own row and no candidates. Other columns are not read.
+    common components; the longest sets the width of all codes. Rows that repeat an id are each other's own row and no
+    candidates. Other columns are not read.
     """
     def taking_part(df: DataFrame) -> DataFrame:
         return V.named(df, id_col, vector_col).where(F.exists("v", lambda x: x != 0))
 
-    codes, mean = build_index(taking_part(vectors), seed)
-    codes = stage(codes, "one-bit-codes")
-    extra = {"code": "binary", "distance": "double", "own": "double"}
-    return V.search_shards(
-        codes, taking_part(queries), k,
-        lambda ids, rows, columns: OneBitShard(ids, rows, columns, mean, k, epsilon, seed), shard_rows, extra,
-    )
+    rows, asked = taking_part(vectors), taking_part(queries)
+    codes, mean = build_index(rows, bits, seed)
+    found = candidates(stage(codes, "one-bit-codes"), mean, asked, k, bits, epsilon, seed, shard_rows).distinct()
+    # vectors are fetched for the candidates alone
+    left = asked.select(F.col("vec_id").alias("query_id"), F.col("v").alias("_query"))
+    scored = found.join(rows, "vec_id").join(left, "query_id").select("query_id", "vec_id", inner_product("v", "_query").alias("score"))
+    return V.ranked(scored, k)

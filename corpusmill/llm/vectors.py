@@ -1,8 +1,9 @@
-"""Sharded search of vectors: rows are dealt over shards by a hash of their id, queries travel to every shard.
+"""Sharded search of vectors: rows are dealt over shards by a hash of their id, queries travel to the shards.
 
-A shard is read once by one task, which builds its index, and then answers the shard's copy of the queries as they
-stream by in batches, so memory is bounded by a shard and a batch, whatever the number of queries. One pilot shard is
-searched first; the k-th score a query reaches there is a bound that is passed on to all other shards.
+A task holds one shard's rows, builds its index, and answers the queries that stream by in batches, so memory is bounded
+by a shard and a batch, whatever the number of queries. Where there are fewer shards than cores, a shard is held by
+several tasks that share its queries. Every query is first asked in one shard that its id names, so this pilot is spread
+over all tasks; the k-th score it reaches there is a bound that is passed on to all shards.
 """
 
 from __future__ import annotations
@@ -19,12 +20,15 @@ from corpusmill.llm.common import stage
 
 SHARD_ROWS = 8_192
 QUERY_BATCH = 256
-_HITS = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+_HITS = "query_id long, vec_id long, low double, high double"
 
 
 class Searcher(Protocol):
-    def search(self, ids: np.ndarray, queries: np.ndarray, floors: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """For each query the ids and scores of its nearest rows here that reach its floor."""
+    def search(self, ids: np.ndarray, queries: np.ndarray, floors: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """For each query the ids of rows here that may reach its floor, with bounds of their scores from both sides.
+
+        An exact search gives each query's k best and equal bounds.
+        """
 
 
 def usable(vector: Column) -> Column:
@@ -57,39 +61,36 @@ def widened(rows: np.ndarray, width: int) -> np.ndarray:
     return rows if rows.shape[1] >= width else np.pad(rows, ((0, 0), (0, width - rows.shape[1])))
 
 
-def _answers(build: Callable[[np.ndarray, np.ndarray, list], Searcher], extra: list[str]):
-    """Sorted rows of a shard in (its vectors, then queries), hits out."""
+def _answers(build: Callable[[pa.Table], Searcher], k: int, floors_only: bool):
+    """Rows of one place in (those of its shard, then queries); hits out, or each query's k-th lower bound."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, held, index = None, [], None
+        held, index = [], None
         for batch in batches:
-            shards = batch.column("shard").to_numpy()
-            is_query = batch.column("is_query").to_numpy(zero_copy_only=False)
-            edges = np.flatnonzero((np.diff(shards) != 0) | (np.diff(is_query.astype(np.int8)) != 0)) + 1
-            for start, end in zip([0, *edges], [*edges, len(shards)]):
-                part = batch.slice(start, end - start)
-                if shards[start] != shard:
-                    shard, held, index = shards[start], [], None
-                if not is_query[start]:
-                    held.append(part)
-                    continue
-                if index is None and held:
-                    table = pa.Table.from_batches(held).combine_chunks()
-                    rows = matrix(table.column("v").combine_chunks())
-                    index = build(table.column("vec_id").to_numpy(), rows, [table.column(n).combine_chunks() for n in extra])
-                    held = []
-                if index is None:
+            queries = int(batch.column("is_query").true_count)
+            rows = batch.num_rows - queries
+            if rows:
+                held.append(batch.slice(0, rows))
+            if not queries:
+                continue
+            if index is None and held:
+                index, held = build(pa.Table.from_batches(held).combine_chunks()), []
+            if index is None:
+                continue
+            for at in range(rows, batch.num_rows, QUERY_BATCH):
+                few = batch.slice(at, QUERY_BATCH)
+                ids, floors = few.column("vec_id").to_numpy(), few.column("floor").to_numpy()
+                found = list(index.search(ids, matrix(few.column("v")), floors))
+                if floors_only:
+                    kth = [np.partition(low, len(low) - k)[len(low) - k] if len(low) >= k else -np.inf for _, low, _ in found]
+                    yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.array(kth, float))], names=["query_id", "floor"])
                     continue
-                for at in range(0, part.num_rows, QUERY_BATCH):
-                    few = part.slice(at, QUERY_BATCH)
-                    ids, floors = few.column("vec_id").to_numpy(), few.column("floor").to_numpy()
-                    found = list(index.search(ids, matrix(few.column("v")), floors))
-                    sizes = [len(hits) for hits, _ in found]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.repeat(ids, sizes)), pa.array(np.concatenate([h for h, _ in found])),
-                         pa.array(np.concatenate([s for _, s in found]).astype(np.float64))],
-                        schema=_HITS,
-                    )
+                columns = [np.concatenate([hit[n] for hit in found]) for n in range(3)]
+                sizes = [len(hit[0]) for hit in found]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.repeat(ids, sizes)), *(pa.array(c.astype(t)) for c, t in zip(columns, ("i8", "f8", "f8")))],
+                    names=["query_id", "vec_id", "low", "high"],
+                )
 
     return run
 
@@ -104,44 +105,40 @@ def search_shards(
     rows: DataFrame,
     queries: DataFrame,
     k: int,
-    build: Callable[[np.ndarray, np.ndarray, list], Searcher],
+    build: Callable[[pa.Table], Searcher],
     shard_rows: int = SHARD_ROWS,
-    extra: dict[str, str] | None = None,
 ) -> DataFrame:
-    """``query_id, rank, vec_id, score``: per query the k highest scores over all shards, ties to smaller ids.
+    """``query_id, vec_id, low, high``: what the shards find for each query, at least its k best rows over all of them.
 
-    ``rows`` and ``queries`` hold ``vec_id, v``; ``extra`` names further columns of ``rows`` (with their types) that the
-    index is built from. A query's own row is no candidate.
+    ``rows`` hold ``vec_id`` and what the index is built from, ``queries`` hold ``vec_id, v``. A query's own row is no
+    candidate.
     """
-    spark = rows.sparkSession
-    extra = extra or {}
     shards = max(1, -(-rows.count() // shard_rows))
-    kinds = "shard int, is_query boolean, vec_id long, v array<double>, floor double"
-    dealt = rows.select(
-        F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int").alias("shard"),
-        F.lit(False).alias("is_query"), "vec_id", "v", F.lit(0.0).alias("floor"), *extra,
+    # a shard is held by as many tasks as it takes to use all cores
+    slices = max(1, rows.sparkSession.sparkContext.defaultParallelism // shards)
+    shard, part = F.pmod(F.xxhash64("vec_id"), F.lit(shards)), F.pmod(F.hash("vec_id"), F.lit(slices))
+    dealt = rows.select("*", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("part"), shard.alias("shard"), F.lit(False).alias("is_query"))
+    own = F.pmod(F.xxhash64(F.lit("pilot"), "vec_id"), F.lit(shards))
+
+    def asked(where: DataFrame, floors_only: bool, kind: str) -> DataFrame:
+        both = dealt.unionByName(where.withColumn("is_query", F.lit(True)), allowMissingColumns=True)
+        placed = both.withColumn("place", (F.col("shard") * slices + F.col("part")).cast("int"))
+        laid = placed.repartitionById(shards * slices, "place").sortWithinPartitions("is_query", "vec_id")
+        return laid.mapInArrow(_answers(build, k, floors_only), kind)
+
+    here = queries.select("vec_id", "v", part.alias("part"), F.lit(float("-inf")).alias("floor"))
+    if shards == 1:
+        return asked(here.withColumn("shard", F.lit(0)), False, _HITS)
+    floors = stage(asked(here.withColumn("shard", own), True, "query_id long, floor double"), "pilot-floors")
+    bound = here.drop("floor").join(floors, F.col("vec_id") == F.col("query_id"), "left")
+    everywhere = bound.select(
+        "vec_id", "v", "part", F.coalesce("floor", F.lit(float("-inf"))).alias("floor"),
+        F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"),
     )
-    empty = [F.lit(None).cast(kind).alias(name) for name, kind in extra.items()]
-
-    def run(asked: DataFrame, first: int, last: int) -> DataFrame:
-        travelling = asked.select(
-            F.explode(F.sequence(F.lit(first), F.lit(last))).alias("shard"),
-            F.lit(True).alias("is_query"), "vec_id", "v", "floor", *empty,
-        )
-        both = dealt.where(F.col("shard").between(first, last)).unionByName(travelling)
-        assert both.schema.names[:5] == [c.split()[0] for c in kinds.split(", ")]
-        laid = both.repartition(last - first + 1, "shard").sortWithinPartitions("shard", "is_query", "vec_id")
-        return laid.mapInArrow(_answers(build, list(extra)), "query_id long, vec_id long, score double")
-
-    asked = queries.select("vec_id", "v", F.lit(float("-inf")).alias("floor"))
-    hits = run(asked, 0, 0)
-    if shards > 1:
-        hits = stage(hits, "pilot-hits")
-        kth = hits.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("kth")).where(F.col("n") >= k)
-        bound = queries.join(kth, F.col("vec_id") == F.col("query_id"), "left").select(
-            "vec_id", "v", F.coalesce("kth", F.lit(float("-inf"))).alias("floor")
-        )
-        hits = hits.unionByName(run(bound, 1, shards - 1))
+    return asked(everywhere, False, _HITS)
+
+
+def ranked(hits: DataFrame, k: int) -> DataFrame:
+    """``query_id, rank, vec_id, score``: the k highest scores of each query, ties to smaller ids."""
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    return hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

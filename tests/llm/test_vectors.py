@@ -100,3 +100,49 @@ def test_estimates_stay_within_their_bounds():
     estimate = distance * (signs @ (query @ turn)) / (own * 8)
     bound = 3 * np.linalg.norm(query) * distance * np.sqrt(1 - own**2) / (own * np.sqrt(63))
     assert (np.abs(estimate - rows @ query) <= bound).mean() > 0.99
+
+
+def test_population_counts_are_sums_of_signed_coordinates():
+    rng = np.random.default_rng(6)
+    code = rng.integers(0, 256, (50, 64), dtype=np.uint8)
+    words, signs = code.view("<u8"), np.unpackbits(code, axis=1) * 2.0 - 1
+    ones = np.bitwise_count(words).sum(axis=1, dtype=np.int64)
+    for turned in (rng.standard_normal(512), np.zeros(512), np.full(512, -2.5)):
+        rounded = one_bit_search.RoundedQuery(turned)
+        assert (np.abs(rounded.signed_sums(words, ones) - signs @ turned) <= rounded.rounding + 1e-9).all()
+        assert rounded.rounding <= 512 * rounded.step / 2 + 1e-9
+
+
+def one_shard(ids, rows, k):
+    mean = rows.mean(axis=0)
+    turn = one_bit_search.rotation(rows.shape[1], one_bit_search.code_width(rows.shape[1]))
+    code, distance, own = one_bit_search.encode(rows, mean, turn)
+    return one_bit_search.OneBitShard(ids, np.ascontiguousarray(code).view("<u8"), distance, own, mean, turn, k, one_bit_search.EPSILON)
+
+
+def test_few_vectors_are_reranked():
+    """At most a tenth of the rows of sf0.1, with nine tenths of the neighbours among them at least."""
+    import pyarrow.parquet as pq
+
+    table = pq.read_table("/root/testdata/sf0.1/embeddings.parquet")
+    ids, rows = table["vec_id"].to_numpy(), np.array(table["embedding"].to_pylist(), float)
+    asked, found, hits = ids % 20 == 0, 0, 0
+    for at, (near, low, high) in zip(np.flatnonzero(asked), one_shard(ids, rows, 20).search(ids[asked], rows[asked], np.full(asked.sum(), -np.inf))):
+        scores = np.where(ids == ids[at], -np.inf, rows @ rows[at])
+        found, hits = found + len(near), hits + len(set(ids[np.argsort(-scores)[:20]]) & set(near))
+        assert (low <= high).all() and ids[at] not in near
+    assert found <= 0.1 * asked.sum() * len(ids) and hits >= 0.9 * 20 * asked.sum()
+
+
+def test_trees_score_few_rows_of_clustered_vectors():
+    rng = np.random.default_rng(0)
+    centres = rng.standard_normal((40, 64)) * 3
+    rows = np.floor(1024 * (centres[rng.integers(0, 40, 4000)] + rng.standard_normal((4000, 64)) * 0.3))
+    ids = np.arange(4000)
+    tree = kd_search.KDTree(ids, rows, 10)
+    asked = ids % 100 == 0
+    for at, (near, scores, _) in zip(np.flatnonzero(asked), tree.search(ids[asked], rows[asked], np.full(asked.sum(), -np.inf))):
+        want = np.where(ids == at, -np.inf, rows @ rows[at])
+        order = np.lexsort((ids, -want))[:10]
+        assert near.tolist() == order.tolist() and scores.tolist() == want[order].tolist()
+    assert tree.scored < 0.1 * asked.sum() * len(ids)
