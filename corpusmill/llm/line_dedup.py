@@ -115,11 +115,13 @@ def foreign_lines(docs: DataFrame, min_chars: int, batches: int, fanout: int) ->
     # ids of NULL come last and count as one document
     keyed = stage(keyed.withColumn("batch", F.coalesce(batch_no, F.lit(batches))), "line-keys", ["batch"])
     runs = LineRuns(spark, fanout)
-    for number in range(batches + 1):
-        rows = keyed.where(F.col("batch") == number)
-        if number < batches or not rows.isEmpty():
-            runs.add(rows.drop("batch"))
-    runs.close()
+    try:
+        for number in range(batches + 1):
+            rows = keyed.where(F.col("batch") == number)
+            if number < batches or not rows.isEmpty():
+                runs.add(rows.drop("batch"))
+    finally:
+        runs.close()
     # a line may be in a third of all documents: both sides are plain shuffles, so AQE can split it
     return (
         keyed.join(runs.owners(), ["h1", "h2"])
@@ -167,7 +169,7 @@ def dedup_lines(
     A text loses the lines that a document of smaller id holds. A line's key is the line without blanks at its ends,
     A-Z lower-cased; keys shorter than ``min_chars`` stay everywhere. A document keeps every line it owns, also repeated
     ones. A NULL or empty text is one empty line. Rows that repeat a document id count as one document; rows without id
-    count as one document that comes after all others. The columns of ``docs`` travel in the struct, whatever their names.
+    count as one document that comes after all others. Very long texts are split whole, one at a time. The columns of ``docs`` travel in the struct, whatever their names.
     """
     named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     foreign = foreign_lines(named, min_chars, batches, fanout)
