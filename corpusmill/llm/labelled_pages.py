@@ -172,8 +172,12 @@ class Writer:
 
     def comments(self) -> str:
         tag = self.one(("section", "div", "div", "ol", "ul"))
-        head = "" if tag in ("ol", "ul") else self.maybe(0.8, lambda: f"<h2>{self.words(1, 3)}</h2>")
-        return f"<{tag}{self.named(COMMENTS, 0)}>{head}" + self.some(1, 8, self.comment) + self.maybe(0.3, self.form) + f"</{tag}>"
+        title = self.one(("h2", "h3", "h4"))
+        head = "" if tag in ("ol", "ul") else self.maybe(0.8, lambda: f"<{title}>{self.words(1, 3)}</{title}>")
+        inside = self.some(1, 8, self.comment)
+        if head and self.random.random() < 0.4:
+            inside = "<ol>" + self.some(1, 6, lambda: f"<li>{self.pick(self.comment, lambda: f'<p>{self.prose()}</p>')}</li>") + "</ol>"
+        return f"<{tag}{self.named(COMMENTS, 0)}>{head}{inside}" + self.maybe(0.3, self.form) + f"</{tag}>"
 
     def share(self) -> str:
         return f"<div{self.named(SHARE, 0)}>" + self.some(2, 5, self.link) + "</div>"
@@ -215,7 +219,8 @@ class Writer:
         return self.pick(self.advert, self.advert, self.sidebar, self.share, self.form, self.notice, self.menu)
 
     def title(self, main: str) -> str:
-        title = f"<h1{main}>{self.words(2, 9)}</h1>"
+        tag = self.one(("h1", "h1", "h1", "h2"))
+        title = f"<{tag}{main}>{self.words(2, 9)}</{tag}>"
         return f"<header{main}>{title}</header>" if self.random.random() < 0.15 else title
 
     def article(self) -> str:
@@ -228,6 +233,8 @@ class Writer:
         body = self.some(1, self.one((1, 8, 20, 20, 30)), lambda: self.block() + self.maybe(0.15, self.foreign))
         if self.random.random() < 0.08:
             body = self.some(5, 40, self.line)
+        elif self.random.random() < 0.2:
+            body = self.some(1, 15, lambda: f"<div>{self.prose()}</div>" + self.maybe(0.1, self.foreign))
         if tag in ("article", "main") and self.random.random() < 0.3:
             body = f"<div{self.named(CONTENT, 1)}>{body}</div>"
         return (
@@ -252,7 +259,7 @@ class Writer:
         inner = self.maybe(0.3, self.sidebar) + content + self.maybe(0.4, self.sidebar) + self.maybe(0.35, self.comments) + self.maybe(0.2, self.one(around))
         if self.random.random() < 0.5:
             inner = f'<div class="{self.one(WRAPPER)}">{inner}</div>'
-        elif self.random.random() < 0.1:
+        elif self.random.random() < 0.2:
             inner = f'<table class="{self.one(WRAPPER)}"><tr><td data-main="0">{self.menu()}</td><td data-main="1">{content}</td></tr></table>'
         body += inner + self.maybe(0.8, self.footer) + self.maybe(0.2, self.notice)
         if self.random.random() < 0.06:

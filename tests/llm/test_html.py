@@ -88,6 +88,23 @@ PAGES = [
         '<form class="newsletterSignup"><p>Get our letter every week.</p><input type=email></form></body>',
         "On walking\nWalk.\nThen walk on, further than before, until the lamps are lit.",
     ),
+    (
+        '<body><div class="notice">Site down for maintenance on Sunday.</div><div class="menu"><a href=1>m1</a><a href=2>m2</a></div>'
+        '<div class="post"><h2>Post title</h2><div>Text in a div, not a p.</div><div>More text in a div.</div><ul class="share"><li>'
+        '<a href=f>Share</a></li></ul></div><div class="sidebar">Popular posts <a href=p>p1</a></div></body>',
+        "Post title\nText in a div, not a p.\nMore text in a div.",
+    ),
+    (
+        '<body><article><h1>T</h1><p>Text a.</p><form class="newsletter"><p>Sign up for our newsletter.</p><input></form><p>Text b.</p>'
+        '<section id="comments"><h3>3 comments</h3><ol><li><p>Great!</p></li><li><p>So so.</p></li></ol></section></article></body>',
+        "T\nText a.\nText b.",
+    ),
+    ("<body><h1>Plain page</h1><p>Only paragraphs here.</p><p>And one more.</p></body>", "Plain page\nOnly paragraphs here.\nAnd one more."),
+    (
+        '<body><div class="wrapper"><header><a href="/">Home</a></header><main><h1>Story</h1><p>One.</p><p>Two.</p><div class="comments">'
+        '<div class="comment"><p>user says hi</p></div></div></main><aside><p>Sidebar blurb text here.</p></aside></div></body>',
+        "Story\nOne.\nTwo.",
+    ),
 ]
 
 
