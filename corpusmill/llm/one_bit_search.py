@@ -5,8 +5,8 @@ rotated at random, and kept as the signs of its coordinates in packed bits, with
 and the inner product of the rotated vector with its own code, which corrects the estimate. A query is rotated alike and
 rounded to whole numbers of a few bits, so its inner product with a code is a sum of population counts: the code's words
 AND each bit plane of the query. The estimate's error is bounded, with high probability for the code, and surely for the
-rounding. Only vectors whose upper bound reaches the k-th best lower bound, first of a shard, then of all shards, are
-fetched and reranked: codes travel without vectors. There is no cap on how many those are.
+rounding. All shards first tell each query's k best lower bounds. Only vectors whose upper bound reaches the k-th of all of
+them are then fetched and reranked: codes travel without vectors. There is no cap on how many those are.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.llm import vectors as V
@@ -27,7 +27,7 @@ EPSILON = 1.0
 #: Bits of a code per component of a vector.
 BITS_PER_COMPONENT = 8
 #: Bits a query's coordinate is rounded to.
-QUERY_BITS = 6
+QUERY_BITS = 8
 SEED = 7
 
 CODES_SCHEMA = "vec_id long, code binary, distance double, own double"
@@ -144,11 +144,8 @@ def candidates(
     codes: DataFrame, mean: np.ndarray, queries: DataFrame, k: int, bits: int, epsilon: float, seed: int, shard_rows: int
 ) -> DataFrame:
     """``query_id, vec_id``: the rows whose upper bound reaches the k-th best lower bound over all shards."""
-    hits = stage(V.search_shards(codes, queries, k, code_shard(mean, bits, k, epsilon, seed), shard_rows), "one-bit-hits")
-    order = Window.partitionBy("query_id").orderBy(F.desc("low"))
-    kth = hits.withColumn("n", F.row_number().over(order)).where(F.col("n") == k).select("query_id", F.col("low").alias("floor"))
-    reached = F.col("floor").isNull() | (F.col("high") >= F.col("floor"))
-    return hits.join(kth, "query_id", "left").where(reached).select("query_id", "vec_id")
+    build = code_shard(mean, bits, k, epsilon, seed)
+    return V.search_shards(codes, queries, k, build, shard_rows, pilot_everywhere=True).select("query_id", "vec_id")
 
 
 def nearest(

@@ -62,7 +62,7 @@ def widened(rows: np.ndarray, width: int) -> np.ndarray:
 
 
 def _answers(build: Callable[[pa.Table], Searcher], k: int, floors_only: bool):
-    """Rows of one place in (those of its shard, then queries); hits out, or each query's k-th lower bound."""
+    """Rows of one place in (those of its shard, then queries); hits out, or each query's k best lower bounds."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, index = [], None
@@ -82,8 +82,9 @@ def _answers(build: Callable[[pa.Table], Searcher], k: int, floors_only: bool):
                 ids, floors = few.column("vec_id").to_numpy(), few.column("floor").to_numpy()
                 found = list(index.search(ids, matrix(few.column("v")), floors))
                 if floors_only:
-                    kth = [np.partition(low, len(low) - k)[len(low) - k] if len(low) >= k else -np.inf for _, low, _ in found]
-                    yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.array(kth, float))], names=["query_id", "floor"])
+                    lows = [np.partition(low, len(low) - k)[len(low) - k :] if len(low) > k else low for _, low, _ in found]
+                    names = np.repeat(ids, [len(low) for low in lows])
+                    yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(np.concatenate(lows).astype(float))], names=["query_id", "low"])
                     continue
                 columns = [np.concatenate([hit[n] for hit in found]) for n in range(3)]
                 sizes = [len(hit[0]) for hit in found]
@@ -107,11 +108,13 @@ def search_shards(
     k: int,
     build: Callable[[pa.Table], Searcher],
     shard_rows: int = SHARD_ROWS,
+    pilot_everywhere: bool = False,
 ) -> DataFrame:
     """``query_id, vec_id, low, high``: what the shards find for each query, at least its k best rows over all of them.
 
     ``rows`` hold ``vec_id`` and what the index is built from, ``queries`` hold ``vec_id, v``. A query's own row is no
-    candidate.
+    candidate. With ``pilot_everywhere`` all shards tell their k best lower bounds first, so that the k-th of all is the
+    floor everywhere: for searches whose bounds are cheap and whose hits are not.
     """
     shards = max(1, -(-rows.count() // shard_rows))
     # a shard is held by as many tasks as it takes to use all cores
@@ -129,13 +132,17 @@ def search_shards(
     here = queries.select("vec_id", "v", part.alias("part"), F.lit(float("-inf")).alias("floor"))
     if shards == 1:
         return asked(here.withColumn("shard", F.lit(0)), False, _HITS)
-    floors = stage(asked(here.withColumn("shard", own), True, "query_id long, floor double"), "pilot-floors")
+    def everywhere(df: DataFrame) -> DataFrame:
+        return df.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+
+    first = everywhere(here) if pilot_everywhere else here.withColumn("shard", own)
+    lows = asked(first, True, "query_id long, low double")
+    order = Window.partitionBy("query_id").orderBy(F.desc("low"))
+    kth = lows.withColumn("n", F.row_number().over(order)).where(F.col("n") <= k).where(F.col("n") == k)
+    floors = stage(kth.select("query_id", F.col("low").alias("floor")), "pilot-floors")
     bound = here.drop("floor").join(floors, F.col("vec_id") == F.col("query_id"), "left")
-    everywhere = bound.select(
-        "vec_id", "v", "part", F.coalesce("floor", F.lit(float("-inf"))).alias("floor"),
-        F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"),
-    )
-    return asked(everywhere, False, _HITS)
+    bound = bound.select("vec_id", "v", "part", F.coalesce("floor", F.lit(float("-inf"))).alias("floor"))
+    return asked(everywhere(bound), False, _HITS)
 
 
 def ranked(hits: DataFrame, k: int) -> DataFrame:
