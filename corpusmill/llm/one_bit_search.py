@@ -92,15 +92,18 @@ class RoundedQuery:
 
     def signed_sums(self, codes: np.ndarray, ones: np.ndarray) -> np.ndarray:
         """Per code the sum of the query's coordinates, those of bit 0 negated: counted in words, nothing is unpacked."""
-        counted = np.zeros(len(codes), np.int64)
+        counted, words = np.zeros(len(codes), np.uint32), codes.T
         for n, plane in enumerate(self.planes):
-            counted += np.bitwise_count(codes & plane).sum(axis=1, dtype=np.int64) << n
+            counted += np.bitwise_count(words & plane[:, None]).sum(axis=0, dtype=np.uint32) << np.uint32(n)
+        counted = counted.astype(np.int64)
         return self.low * (2 * ones - self.width) + self.step * (2 * counted - self.total)
 
 
 class OneBitShard:
     def __init__(self, ids, codes: np.ndarray, distance: np.ndarray, own: np.ndarray, mean: np.ndarray, turn: np.ndarray, k: int, epsilon: float):
-        self.ids, self.codes, self.mean, self.turn, self.k = ids, codes, mean, turn, k
+        self.ids, self.mean, self.turn, self.k = ids, mean, turn, k
+        # word by word in memory: counts of one word lie side by side
+        self.codes = np.ascontiguousarray(codes.T).T
         self.ones = np.bitwise_count(codes).sum(axis=1, dtype=np.int64)
         width, own = turn.shape[1], np.clip(own, 1e-9, 1)
         self.gain = distance / (own * np.sqrt(width))
