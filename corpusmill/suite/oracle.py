@@ -253,8 +253,10 @@ ORACLE = {
         FROM f WHERE name NOT IN ('RC_4', 'RC_5.parquet')""",
     "largest_files": _MONTHS + """
         SELECT month, length, """ + _HUMAN.format("length") + """ AS size FROM f ORDER BY length DESC, month LIMIT 10""",
-    "extension_counts": _MONTHS + """
-        SELECT '.txt' AS ext, count(*) AS files FROM f""",
+    "extension_counts": _FILES + """,
+        m AS (SELECT DISTINCT strftime(o_orderdate, '%Y-%m') AS month FROM orders)
+        SELECT CASE WHEN ext = '' THEN '[no ext]' ELSE ext END AS ext, count(*) AS files
+        FROM (SELECT ext FROM f UNION ALL SELECT '.txt' FROM m) GROUP BY ALL""",
     "file_size_stats": _MONTHS + """,
         s AS (SELECT count(*) AS file_count, CAST(sum(length) AS BIGINT) AS total_bytes, min(length) AS size_min_bytes,
                      percentile_disc(0.5) WITHIN GROUP (ORDER BY length DESC) AS size_median_bytes,

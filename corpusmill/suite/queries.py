@@ -642,7 +642,9 @@ def largest_files(spark, sf_dir):
 
 @query
 def extension_counts(spark, sf_dir):
-    return corpus.extension_counts(list_dataset(spark, _stored_text(spark, sf_dir)))
+    """Files per ending, of a listing with a file per order and of files stored for this, counted as one listing."""
+    stored = list_dataset(spark, _stored_text(spark, sf_dir))
+    return corpus.extension_counts(_file_table(spark, sf_dir).select("ext").unionAll(stored.select("ext")))
 
 
 @query
