@@ -11,6 +11,7 @@ import hashlib
 import os
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,6 +24,8 @@ CACHE_SCHEMA = "digest binary, n_tokens long"
 PIECE_CHARS = 1 << 20
 # Distinct words whose counts a task remembers before it starts afresh.
 MEMO_WORDS = 400_000
+# Longer words are encoded each time.
+MEMO_CHARS = 64
 
 # Characters for which one-to-one lower-casing is exact and composition changes nothing.
 _PLAIN = "\\x20-\\x7e\\t\\n\\rÀ-ÖØ-öø-ÿ"
@@ -100,7 +103,9 @@ class _Memo(dict):
         self.make = make
 
     def __missing__(self, key):
-        value = self[key] = self.make(key)
+        value = self.make(key)
+        if len(key) <= MEMO_CHARS:
+            self[key] = value
         return value
 
 
@@ -118,12 +123,18 @@ def cut_at_spaces(text: str, size: int) -> Iterator[str]:
     yield text[start:]
 
 
-def _encoder(path: str):
+@lru_cache(maxsize=1)
+def word_counter(path: str, version: str) -> WordCounter:
+    """One counter per process: tasks that follow each other in a worker share it, as each load leaves memory behind."""
+    return WordCounter(path)
+
+
+def _encoder(path: str, version: str):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        counter = WordCounter(path)
+        counter = word_counter(path, version)
         for batch in batches:
-            counts = [counter.count(text) for text in batch.column("text").to_pylist()]
+            counts = [counter.count(text.as_py()) for text in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("digest").cast(pa.binary()), pa.array(counts, pa.int64())], names=["digest", "n_tokens"]
             )
@@ -177,7 +188,7 @@ def token_counts(
         (F.col("t.place") == F.col("m.place")) & F.col("t.doc_id").eqNullSafe(F.col("m.doc_id")),
     )
     fresh = wanted.select("m.digest", "t.text").mapInArrow(
-        _encoder(tokenizer_path), "digest binary, n_tokens long"
+        _encoder(tokenizer_path, version), "digest binary, n_tokens long"
     )
     fresh.write.mode("append").parquet(version_path(spark, cache_path, version))
     # many documents may share a digest: between staged tables both sides are plain shuffles, so AQE can split a hot one

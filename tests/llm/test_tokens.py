@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -133,3 +134,14 @@ def test_stitching_small_chunks(make_docs, encoding):
     for n, text in enumerate(texts):
         assert by_doc[n] == np.array(encoding.encode_ordinary(text), "<u4").tobytes(), repr(text)
     assert any(row["parts"] > 3 for row in tokens)
+
+
+def test_tasks_of_a_process_share_one_counter(monkeypatch):
+    loads = []
+    monkeypatch.setattr(token_counts, "WordCounter", lambda path, real=token_counts.WordCounter: loads.append(path) or real(path))
+    batch = pa.RecordBatch.from_pydict({"digest": [b"1", b"2"], "text": ["one two", "x" * 200]})
+    for _ in range(3):
+        (found,) = token_counts._encoder(WORDS, "of this test")(iter([batch]))
+        assert found.column("n_tokens")[0].as_py() == 2
+    assert loads == [WORDS]
+    assert set(token_counts.word_counter(WORDS, "of this test").memo) == {"one", "two"}  # a memo of short words only
