@@ -11,10 +11,11 @@ from functools import reduce
 
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusmill.functions import paths as P
+from corpusmill.session import scratch_dir
 from corpusmill.sources.decode import filesystem_of
 
 # Fixed value: the file endings that count as record dumps.
@@ -143,9 +144,29 @@ def list_dumps(spark: SparkSession, root: str, recursive: bool = False, ignore:
     return files.withColumns({"kind": P.dump_kind(F.col("name")), "month": P.dump_month(F.col("name"))})
 
 
-def ordered(files: DataFrame) -> DataFrame:
-    """A listing in the order in which jobs take files: by name, then path."""
-    return files.orderBy(P.base_name(F.col("path")), "path")
+def ordered(files: DataFrame, *ties: str) -> DataFrame:
+    """A listing in the order in which jobs take files: by name, then path, then ``ties``."""
+    return files.orderBy(P.base_name(F.col("path")), "path", *ties)
+
+
+def numbered(files: DataFrame, place: str = "place") -> DataFrame:
+    """A listing with each file's place (from 1) in the order in which jobs take files.
+
+    Tasks sort and number a range of names each; the ranges' sizes, a row per task, give the place where each starts.
+    The sorted listing is staged, so that sizes and places come from one sort. Repeated paths may lie in several ranges.
+    """
+    spark, folder = files.sparkSession, scratch_dir(files.sparkSession, "ordered-files")
+    tied = files.withColumn("__tie", F.monotonically_increasing_id())
+    placed = ordered(tied, "__tie").drop("__tie").withColumn("__at", F.monotonically_increasing_id())
+    placed.write.parquet(folder)
+    staged = spark.read.schema(placed.schema).parquet(folder).withColumn("__part", F.shiftright("__at", 33))
+    sizes = staged.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
+    before = F.sum("__n").over(Window.orderBy("__part")) - F.col("__n")
+    starts = sizes.select("__part", before.alias("__start"))
+    within = F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
+    return staged.join(F.broadcast(starts), "__part").select(
+        *files.columns, (F.col("__start") + within + 1).cast("int").alias(place)
+    )
 
 
 def list_dataset(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:

@@ -16,7 +16,7 @@ from corpusmill.plans.build import build_topic, topic_table
 from corpusmill.plans.merge import merge_folder
 from corpusmill.session import prepare, scratch_dir
 from corpusmill.sinks.write import PARQUET_CODECS, write_csv, write_parquet
-from corpusmill.sources.files import list_dataset, list_dumps, list_files, ordered, without
+from corpusmill.sources.files import list_dataset, list_dumps, list_files, numbered, without
 from corpusmill.sources.lines import lines_of, read_lines
 from corpusmill.sources.parquet import parquet_footers, parquet_schema, read_parquet
 from corpusmill.suite.fixtures import ENCODINGS, write_arrow, write_dumps
@@ -609,8 +609,7 @@ def sizes_of_listing(spark, sf_dir):
 def ordered_files(spark, sf_dir):
     """Files in the order jobs take them, those on the ignore list left out."""
     kept = without(_file_table(spark, sf_dir), ["RC_4", "RC_5.parquet"])
-    place = F.row_number().over(Window.orderBy(F.monotonically_increasing_id()))
-    return ordered(kept).select("path").withColumn("place", place)
+    return numbered(kept.select("path"))
 
 
 def _footer_table(spark: SparkSession, sf_dir: str) -> DataFrame:
