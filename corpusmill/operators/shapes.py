@@ -21,6 +21,8 @@ ROOT = "$"
 SKETCH_BITS = 12
 #: Distinct (path, key) pairs a task remembers at a time.
 TASK_KEYS = 200_000
+#: Characters of such pairs a task remembers at a time.
+TASK_CHARS = 32 << 20
 
 _KEYS = "path string, key string"
 _PART = re.compile(r"`((?:[^`]|``)*)`\s*:|([^\s<>,:`()]+)\s*:|(OBJECT<|ARRAY<)|(>)")
@@ -39,7 +41,8 @@ class OpenKeys(ValueError):
 def keys_of_shape(shape: str) -> Iterator[tuple[str, str]]:
     """Object paths and their keys in a schema text as ``schema_of_variant`` gives it; ``[]`` stands for list elements."""
     pending, frames = ROOT, []
-    for quoted, plain, opened, closed in _PART.findall(shape):
+    for part in _PART.finditer(shape):
+        quoted, plain, opened, closed = part.groups("")
         if opened:
             # a list's elements lie one step below it
             pending += "[]" if opened == "ARRAY<" else ""
@@ -53,20 +56,24 @@ def keys_of_shape(shape: str) -> Iterator[tuple[str, str]]:
 
 
 def _shape_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs of shapes, but for those a task remembers: a full memory starts afresh, which costs repeats only."""
     seen: set[tuple[str, str]] = set()
+    fresh, size = [], 0
     for batch in batches:
-        fresh = []
-        for shape in batch.column("shape").to_pylist():
-            for entry in keys_of_shape(shape):
-                if entry not in seen:
-                    seen.add(entry)
-                    fresh.append(entry)
-            if len(fresh) >= TASK_KEYS:
-                yield _entries(fresh)
-                fresh = []
-                seen.clear()
+        for shape in batch.column("shape"):
+            for entry in keys_of_shape(shape.as_py()):
+                if entry in seen:
+                    continue
+                seen.add(entry)
+                fresh.append(entry)
+                size += len(entry[0]) + len(entry[1])
+                if len(seen) >= TASK_KEYS or size >= TASK_CHARS:
+                    yield _entries(fresh)
+                    fresh, size = [], 0
+                    seen.clear()
         if fresh:
             yield _entries(fresh)
+            fresh = []
 
 
 def _entries(pairs: list[tuple[str, str]]) -> pa.RecordBatch:

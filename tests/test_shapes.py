@@ -1,3 +1,4 @@
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -61,3 +62,27 @@ def test_no_records(spark):
     assert shapes.object_keys(none, F.col("record")).collect() == [] and records.record_schema(none).fields == []
     flat = spark.createDataFrame([("5",), (None,), ("[1]",)], "t string").select(F.parse_json("t").alias("record"))
     assert shapes.open_paths(flat, F.col("record"), 0) == []
+
+
+def test_a_task_remembers_a_bounded_number_of_keys(monkeypatch):
+    held, real = [], shapes._entries
+    monkeypatch.setattr(shapes, "TASK_KEYS", 100)
+    monkeypatch.setattr(shapes, "_entries", lambda pairs: held.append(len(pairs)) or real(pairs))
+
+    def batches(n):
+        for at in range(0, n, 60):
+            yield pa.RecordBatch.from_pydict({"shape": [f"OBJECT<a: OBJECT<k{k}: BIGINT>>" for k in range(at, at + 60)]})
+
+    class Watched(set):
+        most = 0
+
+        def add(self, entry):
+            super().add(entry)
+            Watched.most = max(Watched.most, len(self))
+
+    monkeypatch.setattr(shapes, "set", Watched, raising=False)
+    found = [entry for b in shapes._shape_keys(batches(6_000)) for entry in zip(*b.to_pydict().values())]
+    assert set(found) == {("$", "a")} | {("$.a", f"k{k}") for k in range(6_000)}
+    assert Watched.most <= 100 and max(held) <= 100
+    wide = pa.RecordBatch.from_pydict({"shape": ["OBJECT<" + ", ".join(f"k{k}: BIGINT" for k in range(950)) + ", ``: INT>"]})
+    assert sum(b.num_rows for b in shapes._shape_keys(iter([wide]))) == 951 and max(held) <= 100
