@@ -42,15 +42,15 @@ def keys_of_shape(shape: str) -> Iterator[tuple[str, str]]:
     """Object paths and their keys in a schema text as ``schema_of_variant`` gives it; ``[]`` stands for list elements."""
     pending, frames = ROOT, []
     for part in _PART.finditer(shape):
-        quoted, plain, opened, closed = part.groups("")
-        if opened:
+        kind, text = part.lastindex, part[part.lastindex]
+        if kind == 3:
             # a list's elements lie one step below it
-            pending += "[]" if opened == "ARRAY<" else ""
+            pending += "[]" if text == "ARRAY<" else ""
             frames.append(pending)
-        elif closed:
+        elif kind == 4:
             frames.pop()
         else:
-            key = quoted.replace("``", "`") or plain
+            key = text.replace("``", "`") if kind == 1 else text
             yield frames[-1], key
             pending = f"{frames[-1]}.{key}"
 
